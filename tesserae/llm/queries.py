@@ -4,16 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, mixing, simhash, topk
+from tesserae.llm import exact_dedup, langid, mixing, packing, simhash, topk
+
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -26,12 +33,16 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
+
+
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_simhash, op5_exact_dedup, op6_mixing, op9_topk)}
+    return {f.__name__: f for f in (op2_langid, op3_simhash, op5_exact_dedup, op6_mixing, op8_packing, op9_topk)}
 
 
 OP5 = """
