@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, langid, mixing, packing, simhash, topk
+from tesserae.llm import exact_dedup, langid, mixing, packing, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -41,8 +41,12 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_windows(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_langid, op3_simhash, op5_exact_dedup, op6_mixing, op8_packing, op9_topk)}
+    return {f.__name__: f for f in (op2_langid, op3_simhash, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
 
 
 OP5 = """
@@ -95,5 +99,18 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 """
 
 
+OP10 = r"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT r, unnest(generate_series(1, len(w) - 34)) AS p FROM docs WHERE len(w) >= 35),
+windows AS (SELECT r, p, array_to_string(w[p:p + 34], ' ') AS t FROM starts JOIN docs USING (r)),
+again AS (SELECT r, p FROM windows WHERE t IN (SELECT t FROM windows GROUP BY t HAVING count(*) > 1)),
+gone AS (SELECT DISTINCT r, unnest(generate_series(p, p + 34)) AS i FROM again),
+lost AS (SELECT r, list(i) AS l FROM gone GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(l), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN l IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(l, i)) END, ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN lost USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9}
+    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op10_substring": OP10}
