@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, langid, mixing, packing, simhash, substring, topk
+from tesserae.llm import exact_dedup, langid, mixing, packing, pii, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,6 +25,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find(_table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -46,7 +50,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_langid, op3_simhash, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
+    return {f.__name__: f for f in (op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
 
 
 OP5 = """
