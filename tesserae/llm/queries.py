@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, langid, mixing, packing, pii, simhash, substring, topk
+from tesserae.llm import exact_dedup, langid, mixing, packing, pii, quality, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,6 +17,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = _table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return quality.classify(_table(spark, sf_dir, "documents"), trusted)
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
@@ -50,7 +55,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
 
 
 OP5 = """
