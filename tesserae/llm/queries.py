@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, langid, mixing, packing, pii, quality, simhash, substring, topk
+from tesserae.llm import exact_dedup, langid, line_dedup, mixing, packing, pii, quality, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -42,6 +42,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduped(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents").select("doc_id", "text"), TOKENIZER)
 
@@ -55,7 +59,7 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op8_packing, op9_topk, op10_substring)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring)}
 
 
 OP5 = """
