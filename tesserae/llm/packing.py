@@ -28,8 +28,12 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: A sequence with a larger share of free tokens is opened again in the second round.
 SLACK = 0.01
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
+#: Anything but Latin letters, whose lower case is one letter, ASCII and common signs; also white space beyond ASCII.
+UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]")
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: A comma or full stop at the end of a word that does not follow a letter or digit: it may belong to a longer mark.
+JOINED_MARK = re.compile(r"[.,](?<![^\W_][.,])(?=[ \n]|\Z)")
 
 
 @cache
@@ -42,6 +46,20 @@ def _tokenizer(path: str):
     return found
 
 
+def split(text: str) -> list[str]:
+    """Parts of a text whose ids make up the text's. Usual texts are lower-cased and lose their closing commas and full
+    stops to parts of their own, so that there are fewer different ones; only ASCII white space separates."""
+    if UNUSUAL.search(text):
+        return [w.decode() for w in text.encode().split()] if OTHER_SPACE.search(text) else text.split()
+    text = text.lower()
+    if not JOINED_MARK.search(text):
+        for mark in ",.":
+            text = text.replace(f"{mark} ", f" {mark} ").replace(f"{mark}\n", f" {mark}\n")
+        if text[-1:] in (",", "."):
+            text = f"{text[:-1]} {text[-1]}"
+    return text.split()
+
+
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers; what it remembers is bounded."""
 
@@ -81,8 +99,7 @@ class Encoder:
         for i in range(0, len(texts), 256):
             if len(self.words) > CACHED_WORDS:
                 self.words.clear()
-            # only ASCII white space separates; str.split() knows more
-            parts = [[w.decode() for w in x.encode().split()] if OTHER_SPACE.search(x) else x.split() for x in texts[i : i + 256]]
+            parts = [split(x) for x in texts[i : i + 256]]
             self.learn(set().union(*parts).difference(self.words))
             get = self.words.__getitem__
             for words in parts:
