@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, small, text_or_empty
+from tesserae.llm.common import materialize, text_or_empty
 from tesserae.llm.simhash import groups, starts
 from tesserae.llm.words import Words, mixed, runs_hash, words
 
 WINDOW = 35
 SEED = 12
 #: Windows that a block holds at a time.
-BLOCK_WINDOWS = 3_000_000
+BLOCK_WINDOWS = 1_000_000
 #: Places of one seed that may meet in one group of rows.
 HOT_PLACES = 1_000
 SEED_BASE, WINDOW_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
@@ -69,8 +69,8 @@ def window_hash(w: Words, starts: np.ndarray, window: int) -> np.ndarray:
 
 
 def index(texts: DataFrame, window: int, seed: int) -> DataFrame:
-    """texts (id, text) -> (id, hits): the chosen seeds of each id that the index has from several places, each with its
-    first word and the number of groups over which its windows are split. Ids without such seeds are left out."""
+    """texts (id, check, text) -> (id, check, hits): the chosen seeds of each text that the index has from several places,
+    each with its first word and the number of groups over which its windows are split. Texts without any are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -80,13 +80,13 @@ def index(texts: DataFrame, window: int, seed: int) -> DataFrame:
                 edge = pa.array(np.searchsorted(row, np.arange(w.hi - w.lo + 1)).astype(np.int32))
                 seeds = pa.ListArray.from_arrays(edge, pa.array(p.seed[at].view(np.int64)))
                 places = pa.ListArray.from_arrays(edge, pa.array((at - w.of[row]).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column("id").slice(w.lo, w.hi - w.lo), seeds, places], ["id", "seeds", "places"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(w.lo, w.hi - w.lo) for c in ("id", "check")], seeds, places], ["id", "check", "seeds", "places"])
 
-    found = materialize(texts.mapInArrow(run, "id long, seeds array<long>, places array<int>"))
-    flat = found.select("id", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("id", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
+    found = materialize(texts.mapInArrow(run, "id long, check long, seeds array<long>, places array<int>"))
+    flat = found.select("id", "check", F.explode(F.arrays_zip("seeds", "places")).alias("s")).select("id", "check", F.col("s.seeds").alias("seed"), F.col("s.places").alias("place"))
     known = flat.groupBy("seed").count().where("count > 1").select(F.col("seed").alias("known"), F.ceil(F.col("count") / HOT_PLACES).cast("int").alias("split"))
     hits = flat.join(materialize(known), F.col("seed") == F.col("known"))
-    return hits.groupBy("id").agg(F.collect_list(F.struct("place", "split")).alias("hits"))
+    return hits.groupBy("id", "check").agg(F.collect_list(F.struct("place", "split")).alias("hits"))
 
 
 def _runs(window: int, seed: int):
@@ -217,11 +217,12 @@ def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id", wi
     """
     seed = min(window, max(SEED, window - 62))
     rows = docs.select(F.col(id).alias("doc"), text_or_empty(text).alias("text")).withColumns({"id": F.xxhash64("text"), "check": F.crc32(F.col("text").cast("binary"))})
-    hits = materialize(index(rows.select("id", "text"), window, seed))
+    hits = materialize(index(rows.select("id", "check", "text"), window, seed))
+    # both passes over texts read the same columns, so that Spark moves the texts once
     texts = rows.groupBy("id", "check").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    parsed = texts.join(hits, "id", "left").select("id", "check", "copies", "text", "hits")
+    parsed = texts.join(hits, ["id", "check"], "left").select("id", "check", "copies", "text", "hits")
     runs = parsed.mapInArrow(*_runs(window, seed)).repartition("route").sortWithinPartitions("seed", "part")
     marks = runs.mapInArrow(_marks, "id long, check long, first long, mask long").groupBy("id", "check").agg(F.collect_list(F.struct("first", "mask")).alias("marks"))
-    cut = texts.join(marks, ["id", "check"], "left").select("id", "check", "text", "marks").mapInArrow(*_cut(window, with_text))
+    cut = texts.join(marks, ["id", "check"], "left").select("id", "check", "copies", "text", "marks").mapInArrow(*_cut(window, with_text))
     kept = "kept_text" if with_text else "kept_sha256"
     return rows.select("doc", "id", "check").join(cut, ["id", "check"]).select(F.col("doc").alias(id), "n_words", "n_removed", F.col("kept").alias(kept))

@@ -13,7 +13,7 @@ from tesserae.llm.common import slices
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 BYTE_BASE = 0x9E3779B97F4A7C15
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 @cache
