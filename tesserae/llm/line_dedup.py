@@ -193,20 +193,20 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(edits: int):
-    """Tiles of (key, tile, chunk, lid, own, seg, len, line) -> (lid, other, links)."""
+    """Tiles of (key, tile, chunk, across, lid, own, seg, len, line) -> (lid, other, links)."""
     keys = ["key", "tile"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, keys, 4_000):
             first = starts(table, keys)
-            lid, own, chunk, seg = (table.column(c).to_numpy() for c in ("lid", "own", "chunk", "seg"))
+            lid, own, chunk, across, seg = (table.column(c).to_numpy() for c in ("lid", "own", "chunk", "across", "seg"))
             text = table.column("line").to_pylist()
             length = np.array([len(x) for x in text])
             letters = np.stack([np.bincount(np.frombuffer(x.encode("utf-32-le"), dtype=np.uint32) & 15, minlength=16) for x in text]).astype(np.int32)
             for a, b in zip(first.tolist(), np.append(first[1:], len(table)).tolist(), strict=True):
                 if not own[a:b].any() or b - a < 2:
                     continue
-                cross = len(np.unique(chunk[a:b])) > 1
+                cross = across[a]
                 left, right = [], []
                 for x in (a + np.flatnonzero(own[a:b])).tolist():
                     near = np.abs(letters[a:b] - letters[x]).sum(axis=1) <= 2 * edits
@@ -236,7 +236,7 @@ def joined(distinct: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS
     dealt = members.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.withColumn("tile", F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other"))
-    dealt = dealt.select("key", "tile", "chunk", "lid", "seg", "own").join(long, "lid")
+    dealt = dealt.select("key", "tile", "chunk", (F.col("chunk") != F.col("other")).alias("across"), "lid", "seg", "own").join(long, "lid")
     return dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(*_verified(edits))
 
 
