@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,11 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:
+    """The text column inside a batch's `row` struct, so that texts are sent once; null counts as empty."""
+    return batch.column("row").field(text).fill_null("")
+
+
 def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges whose lengths sum to at most `most`; a longer row stands alone."""
     start, total = 0, 0

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import slices, text_or_empty
+from tesserae.llm.common import slices, text_or_empty, texts_of
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -122,7 +122,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             pred, score, margin = [], [], []
-            for x in batch.column("text"):
+            for x in texts_of(batch, text):
                 own = ranked(grams(x.as_py()), most)
                 near = np.maximum(0.0, _compare(own, indexed, most)) if len(own) and names else np.zeros(1)
                 best = int(np.argmax(near))
@@ -131,7 +131,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text"
                 margin.append(float(near[best] - max(np.delete(near, best), default=0.0)))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())], ["row", "lang_pred", "score", "margin"])
 
-    packed = docs.select(F.struct("*").alias("row"), text_or_empty(text).alias("text"))
+    packed = docs.select(F.struct("*").alias("row"))
     return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, lang_pred string, score double, margin double")
 
 

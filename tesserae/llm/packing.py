@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, text_or_empty
+from tesserae.llm.common import materialize, texts_of
 
 CAPACITY = 4_096
 END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: A sequence with a larger share of free tokens is opened again in the second round.
 SLACK = 0.01
-CACHED_WORDS = 800_000
+CACHED_WORDS = 500_000
 #: Anything but Latin letters, whose lower case is one letter, ASCII and common signs; also white space beyond ASCII.
 UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]")
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -123,7 +123,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPAC
                 part = batch.slice(lo, 2_000)
                 at: list[int] = []
                 out: list[tuple[int, int, int, int]] = []
-                for i, ids in enumerate(encode(part.column("text").to_pylist())):
+                for i, ids in enumerate(encode(texts_of(part, text).to_pylist())):
                     ids += end
                     for k, start in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[start : start + 4 * capacity]
@@ -132,7 +132,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPAC
                 k, start, length, crc = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([part.column("row").take(pa.array(at)), pa.array(k, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]], ["row", "piece", "start", "length", "ids_crc32"])
 
-    packed = docs.select(F.struct("*").alias("row"), text_or_empty(text).alias("text"))
+    packed = docs.select(F.struct("*").alias("row"))
     return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 

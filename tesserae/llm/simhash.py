@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, small, text_or_empty
+from tesserae.llm.common import materialize, small, texts_of
 from tesserae.llm.components import components
 
 BITS = 64
@@ -52,10 +52,10 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(x.as_py(), width) for x in batch.column("text")], dtype=np.uint64)
+            values = np.array([fingerprint(x.as_py(), width) for x in texts_of(batch, text)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values.view(np.int64))], ["row", "fp"])
 
-    packed = docs.select(F.struct("*").alias("row"), text_or_empty(text).alias("text"))
+    packed = docs.select(F.struct("*").alias("row"))
     return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, fp long")
 
 
