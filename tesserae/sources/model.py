@@ -78,8 +78,8 @@ def _items(path: str, text: str) -> Iterator[tuple]:
             yield "value", name, str(label), k, dump(v or {})
 
 
-def read_modules(spark: SparkSession, path: str) -> DataFrame:
-    """All declarations under path, recursively: (kind, name, key, ord, body, file)."""
+def read_declarations(spark: SparkSession, path: str) -> DataFrame:
+    """All declarations under path, recursively, as each file has them: (kind, name, key, ord, body, file)."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.yaml").text(path, wholetext=True)
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,7 +87,12 @@ def read_modules(spark: SparkSession, path: str) -> DataFrame:
             rows = [(*x, path) for path, text in zip(batch["path"], batch["value"], strict=True) for x in _items(path, text)]
             yield pd.DataFrame(rows, columns=["kind", "name", "key", "ord", "body", "file"])
 
-    return merged(files.select("value", F.col("_metadata.file_path").alias("path")).mapInPandas(parse, ITEM))
+    return files.select("value", F.col("_metadata.file_path").alias("path")).mapInPandas(parse, ITEM)
+
+
+def read_modules(spark: SparkSession, path: str) -> DataFrame:
+    """The model under path: its declarations, merged."""
+    return merged(read_declarations(spark, path))
 
 
 def merged(items: DataFrame) -> DataFrame:
@@ -101,9 +106,9 @@ def merged(items: DataFrame) -> DataFrame:
     return rows.select("kind", "name", "key", F.col("last.ord").alias("ord"), whole.alias("body"), F.col("last.file").alias("file"))
 
 
-def collisions(items: DataFrame) -> DataFrame:
+def collisions(declarations: DataFrame) -> DataFrame:
     """Names that several files declare: (kind, name, files)."""
-    of = items.where(F.col("kind").isin("class", "slot", "enum")).groupBy("kind", "name").agg(F.array_sort(F.collect_set("file")).alias("files"))
+    of = declarations.where(F.col("kind").isin("class", "slot", "enum")).groupBy("kind", "name").agg(F.array_sort(F.collect_set("file")).alias("files"))
     return of.where(F.size("files") > 1)
 
 
