@@ -99,3 +99,26 @@ def kinds(graph: DataFrame, priority: dict[str, Column]) -> DataFrame:
     best = F.min(reduce(lambda rest, i: F.when(priority[names[i]], i).otherwise(rest), reversed(range(len(names))), F.lit(len(names))))
     of = graph.groupBy("s").agg(best.alias("k"))
     return of.groupBy(F.element_at(F.array(*[F.lit(n) for n in [*names, "other"]]), F.col("k") + 1).alias("kind")).agg(F.count("*").alias("n"))
+
+
+def model_triples(items: DataFrame) -> DataFrame:
+    """A model as triples: classes with parents and slots, slots with ranges, vocabularies with values."""
+    from tesserae.sources import model
+
+    of = triples(model.classes(items), F.col("name"), {"type": F.lit("Class"), "subClassOf": F.col("is_a"), "description": F.col("description")}, {"type": "iri", "subClassOf": "iri"})
+    used = triples(items.where("kind IN ('class_slot', 'attribute')"), F.col("name"), {"slot": F.col("key")}, {"slot": "iri"})
+    slots = model.slots(items)
+    ranges = F.array_compact(F.array_append(F.coalesce(F.transform("def.any_of", lambda x: x["range"]), F.array().cast("array<string>")), F.col("def.range")))
+    typed = triples(slots, F.col("slot"), {"type": F.lit("Slot")}, {"type": "iri"})
+    ranged = triples(slots.select("slot", F.explode(ranges).alias("range")), F.col("slot"), {"range": F.col("range")}, {"range": "iri"})
+    words = triples(model.enum_values(items), F.col("enum"), {"value": F.col("label")})
+    return of.unionByName(used).unionByName(typed).unionByName(ranged).unionByName(words).distinct()
+
+
+def inferred(graph: DataFrame, sub: str = "subClassOf", type: str = "type") -> DataFrame:
+    """The graph with what its class hierarchy entails: subclasses of ancestors, types of ancestor classes."""
+    above = path_plus(graph, sub)
+    classes = above.select("s", F.lit(sub).alias("p"), "o")
+    types = pattern(graph, "?s", type, "?c").join(above.withColumnRenamed("s", "c"), "c").select("s", F.lit(type).alias("p"), "o")
+    more = classes.union(types).select("s", "p", "o", F.lit("iri").alias("s_kind"), F.lit("iri").alias("o_kind"))
+    return graph.select("s", "p", "o", "s_kind", "o_kind").union(more).distinct()

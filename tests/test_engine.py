@@ -9,10 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import browse, graph, profile, sync, synonyms
+from tesserae.operators import browse, graph, lint, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.queries import QUERIES, SQL
-from tesserae.sources import model
+from tesserae.sources import model, sinks
 from tesserae.streaming import drift
 
 HERE = os.path.dirname(__file__)
@@ -101,6 +101,39 @@ def test_tables_of_a_model(items):
     assert table["Assay"]["description"] == "Reads of a sample" and table["Assay"]["data_types"] == "a, b" and "Base" not in table
 
 
+def test_sinks(spark, items, schemas, tmp_path):
+    assert sinks.write_schemas(compile.schemas(items, "org.example-"), str(tmp_path)) == ["Alone", "Assay", "Base", "Plain"]
+    assert json.loads((tmp_path / "Assay.json").read_text()) == schemas["Assay"]
+    assert sinks.enum_yaml("E", {"b": {"meaning": "x: 1"}, "a": None}).splitlines()[:4] == ["# Generated; changes by hand are lost.", "enums:", "  E:", "    permissible_values:"]
+    assert json.loads(sinks.bundle(items))["totals"] == {"classes": 4, "slots": 8, "enums": 4, "values": 9}
+    assert [tuple(r) for r in sinks.sssom(items).collect()] == [("Mask#Unknown", "skos:exactMatch", "x:1", "Unknown")]
+    assert "`reads` BIGINT" in sinks.ddl(compile.columns(compile.fields(items)).where("class = 'Assay'"), "assay")
+    found = spark.createDataFrame([("f", '{"a": 2}')], "field string, values string")
+    assert json.loads(sinks.suggestions_json(found, {"least": 2})) == {"suggestions": {"f": {"a": 2}}, "filters": {"least": 2}}
+    assert sinks.markdown(found, "T").splitlines()[2] == "| field | values |"
+    sinks.append_csv(found, f"{tmp_path}/out", ["field"])
+    sinks.append_csv(found.union(spark.createDataFrame([("g", "1")], found.schema)), f"{tmp_path}/out", ["field"], spark.read.csv(f"{tmp_path}/out", header=True))
+    assert sorted(r["field"] for r in spark.read.csv(f"{tmp_path}/out", header=True).collect()) == ["f", "g"]
+    assert one(spark, sinks.key_values(a=F.col("v"), b=F.lit(None)), v="x") == "a=x\nb="
+
+
+def test_lint(spark, items):
+    assert [r["schema_name"] for r in lint.dangling(spark.createDataFrame([("Assay",), ("Gone",)], "schema_name string"), items).collect()] == ["Gone"]
+    assert lint.unknown_ranges(items, ["string", "integer", "float"]).count() == 0
+    assert lint.shared_labels(items).count() == 0
+    found = lint.coverage(items, "dataType", spark.createDataFrame([("a",)], "label string"))
+    assert sorted(map(tuple, found.collect()), key=str) == [("Alone", "missing", None), ("Assay", "invalid", "b"), ("Plain", "missing", None)]
+    assert lint.without_final_newline(spark.createDataFrame([("x", "a"), ("y", "a\n")], "file string, text string")).first()["file"] == "x"
+
+
+def test_model_graph(items):
+    g = graph.model_triples(items)
+    assert {r["o"] for r in graph.pattern(g, "?s", "subClassOf", "?o").collect()} == {"Base", "Plain"}
+    more = graph.inferred(g)
+    assert more.count() >= g.count()
+    assert {(r["c"], r["s"]) for r in graph.basic(g, ("?c", "subClassOf", "Base"), ("?c", "slot", "?s")).collect()} == {("Assay", "reads"), ("Assay", "kit")}
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", None)], "name string, parent string")
     assert {(r["name"], r["ancestor"]) for r in compile.closure(edges, 5).collect()} == {("a", "a"), ("a", "b"), ("b", "b"), ("b", "a"), ("c", "c")}
