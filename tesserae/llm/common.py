@@ -35,7 +35,7 @@ def materialize(df: DataFrame) -> DataFrame:
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A materialised table, marked for broadcast only if it has few rows; else Spark shuffles it."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
 
 
 def text_or_empty(name: str = "text") -> Column:
