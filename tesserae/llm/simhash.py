@@ -284,10 +284,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", id: str = "doc_id", mos
 
 def one_of_each(docs: DataFrame, text: str = "text", id: str = "doc_id", most: int = MOST_BITS, width: int = SHINGLE) -> DataFrame:
     """The rows of docs that stay, all columns: of each component the row with the smallest id; of repeated rows with that
-    id, all stay (exact dedup comes first). Rows of a component without any id stay."""
+    id and text, all stay (exact dedup comes first). A component without any id stays whole; null ids go in any other."""
+    twin = F.xxhash64(F.col(text))
     rows = fingerprints(docs, text, width)
-    digest = materialize(rows.select(F.col(f"row.{id}").alias("id"), "fp"))
+    digest = materialize(rows.select(F.col(f"row.{id}").alias("id"), F.xxhash64(f"row.{text}").alias("twin"), "fp"))
     found = materialize(classes(digest, most))
-    go = materialize(digest.join(small(found), "fp").where("NOT (id <=> component_id)").select("id"))
-    packed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"))
-    return packed.join(small(go.distinct()), "id", "left_anti").select("row.*")
+    go = materialize(digest.join(small(found), "fp").where("NOT (id <=> component_id)").select("id", "twin").distinct())
+    packed = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), twin.alias("twin")).alias("d")
+    gone = small(go).alias("g")
+    return packed.join(gone, F.col("d.id").eqNullSafe(F.col("g.id")) & (F.col("d.twin") == F.col("g.twin")), "left_anti").select("row.*")
