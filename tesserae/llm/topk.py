@@ -99,7 +99,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embedd
     n, nq = rows.count(), asked.count()
     per = max(1, min(block_rows, max(LEAST_ROWS, n // LEAST_BLOCKS)))
     across, down = max(1, -(-n // per)), max(1, -(-nq // block_rows))
-    block = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks))
+    block = lambda blocks: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))  # noqa: E731  even if an id repeats
     every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
     candidates = rows.select("id", "v", "dims", F.lit(0).alias("role"), block(across).alias("x_block"), every(down).alias("q_block"))
     asked = asked.select("id", "v", "dims", F.lit(1).alias("role"), every(across).alias("x_block"), block(down).alias("q_block"))
