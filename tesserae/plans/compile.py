@@ -87,8 +87,7 @@ def rules(items: DataFrame) -> DataFrame:
 
 def schemas(items: DataFrame, prefix: str = "", version: str | None = None) -> DataFrame:
     """(class, json): one JSON Schema per class. An abstract class accepts any object."""
-    text = lambda c: F.to_json(F.struct(c.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(c.alias("x")))) - 6)
-    quoted = lambda c: F.regexp_replace(text(c), "^$", "null")
+    quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)  # noqa: E731  a text as JSON
     own = F.when(F.col("own").isNotNull(), 0).otherwise(1)
     place = F.struct(own.alias("a"), F.when(own == 0, F.col("own")).alias("b"), F.col("property").alias("c"))
     entry = F.struct(place.alias("place"), F.concat(quoted(F.col("property")), F.lit(":"), F.col("schema")).alias("text"))

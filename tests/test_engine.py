@@ -208,8 +208,7 @@ def test_profile(spark):
 def test_sync(spark):
     rows = spark.createDataFrame([(" a ", 1), ("b", 2), (None, 3)], "k string, v int")
     links = spark.createDataFrame([("a", "u"), ("a ", "u")], "k string, url string")
-    assert sorted((r["v"], r["url"]) for r in sync.linked(rows, links, "k").collect()) == [(1, "u"), (2, None), (3, None)] or True
-    assert sync.linked(rows, links, "k").count() == 3
+    assert sorted((r["v"], r["url"]) for r in sync.linked(rows, links, "k").collect()) == [(1, "u"), (2, None), (3, None)]
     assert sync.complete(rows, "k").count() == 2
     assert one(spark, sync.routed(F.col("x"), [("cell line", "c"), ("mouse", "m")]), x="A Mouse") == "m"
 
@@ -227,8 +226,8 @@ def test_graph(spark):
 
 def test_readers(spark, tmp_path):
     (tmp_path / "a.nt").write_text('<http://x/a> <http://p> "v \\"q\\""@en .\n# no\n\n_:b <http://p> <http://x/c> .\n<http://x/a> <http://n> "1"^^<http://int> .\n')
-    got = sorted(map(tuple, model.read_ntriples(spark, f"{tmp_path}/a.nt").collect()))
-    assert got == sorted([("http://x/a", "http://p", 'v \\"q\\"', "iri", "literal", None, "en"), ("_:b", "http://p", "http://x/c", "bnode", "iri", None, None), ("http://x/a", "http://n", "1", "iri", "literal", "http://int", None)], key=str) or len(got) == 3
+    got = {tuple(r) for r in model.read_ntriples(spark, f"{tmp_path}/a.nt").collect()}
+    assert got == {("http://x/a", "http://p", 'v \\"q\\"', "iri", "literal", None, "en"), ("_:b", "http://p", "http://x/c", "bnode", "iri", None, None), ("http://x/a", "http://n", "1", "iri", "literal", "http://int", None)}
     (tmp_path / "t.csv").write_text('Term,URLs,Synonyms\na,u,"x; y"\nb,u,\na,w,z\n')
     terms = {r["Term"]: r["URLs"] for r in model.read_terms(spark, f"{tmp_path}/t.csv").collect()}
     assert terms == {"a": "w", "b": "u"}
@@ -263,7 +262,7 @@ def duck():
 
 def rows_of(columns, rows):
     plain = lambda v: round(v, 6) if isinstance(v, float) else str(list(v)) if isinstance(v, (list, tuple)) else str(v)
-    return sorted(tuple(str(plain(x)) for _, x in sorted(zip(columns, r, strict=True))) if False else tuple(str(plain(r[columns.index(c)])) for c in sorted(columns)) for r in rows)
+    return sorted(tuple(str(plain(r[columns.index(c)])) for c in sorted(columns)) for r in rows)
 
 
 @pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables")
