@@ -28,7 +28,8 @@ END_ID = 1
 SHARD_TOKENS = 2_000_000
 #: A sequence with a larger share of free tokens is opened again in the second round.
 SLACK = 0.01
-CACHED_WORDS = 500_000
+#: Words whose ids a worker remembers, at most; about 200 bytes each.
+CACHED_WORDS = 800_000
 #: Anything but Latin letters, whose lower case is one letter, ASCII and common signs; also white space beyond ASCII.
 UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\u012f\u0131-\u024f]")
 OTHER_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -63,8 +64,8 @@ def split(text: str) -> list[str]:
 class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers; what it remembers is bounded."""
 
-    def __init__(self, path: str):
-        self.tokenizer, self.words = _tokenizer(path), {}
+    def __init__(self, path: str, most: int = CACHED_WORDS):
+        self.tokenizer, self.words, self.most = _tokenizer(path), {}, most
 
     def _encode(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -97,7 +98,7 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         for i in range(0, len(texts), 256):
-            if len(self.words) > CACHED_WORDS:
+            if len(self.words) > self.most:
                 self.words.clear()
             parts = [split(x) for x in texts[i : i + 256]]
             self.learn(set().union(*parts).difference(self.words))
@@ -107,17 +108,17 @@ class Encoder:
 
 
 @cache
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, most: int) -> Encoder:
     """One per worker process: tasks that follow find the words known."""
-    return Encoder(path)
+    return Encoder(path, most)
 
 
-def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, cached_words: int = CACHED_WORDS) -> DataFrame:
     """row (all columns of docs), piece, start, length, ids_crc32: each document's ids and end_id, cut only where it is
     longer than capacity. Null text counts as empty. Narrow."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = _encoder(path), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = _encoder(path, cached_words), np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for lo in range(0, len(batch), 2_000):
                 part = batch.slice(lo, 2_000)
@@ -187,14 +188,14 @@ def _round(rows: DataFrame, tokens: int, round: int, capacity: int, documents: i
     return keyed.groupBy("shard").applyInPandas(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, fill long")
 
 
-def pack(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id", capacity: int = CAPACITY, end_id: int = END_ID, documents: int = CAPACITY, attention: float = float(CAPACITY) ** 2, weights: tuple = (1.0, 0.05, 0.2)) -> DataFrame:
+def pack(docs: DataFrame, path: str, text: str = "text", id: str = "doc_id", capacity: int = CAPACITY, end_id: int = END_ID, documents: int = CAPACITY, attention: float = float(CAPACITY) ** 2, weights: tuple = (1.0, 0.05, 0.2), cached_words: int = CACHED_WORDS) -> DataFrame:
     """One row per piece of each row of docs: id, piece, start, length, ids_crc32, sequence_id, offset.
 
     Null and empty texts are one piece of one id. Rows with the same id (null among them) are packed apart. A sequence
     holds at most `capacity` tokens, `documents` pieces and `attention` squared piece lengths, except that a piece which
     alone exceeds one of the last two stands alone. Extra columns are ignored; an empty table gives no rows.
     """
-    cut = pieces(docs.select(F.col(id).alias("id"), F.col(text).alias("text")).select("id", "text"), path, "text", capacity, end_id)
+    cut = pieces(docs.select(F.col(id).alias("id"), F.col(text).alias("text")).select("id", "text"), path, "text", capacity, end_id, cached_words)
     cut = materialize(cut.select("row.id", "piece", "start", "length", "ids_crc32"))
     names = ["id", "piece", "start", "length", "ids_crc32"]
     tokens = lambda df: df.agg(F.sum("length")).first()[0] or 0
