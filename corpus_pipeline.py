@@ -35,7 +35,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a packed sequence."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, cached_words=200_000)  # workers of the stages before still hold memory
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact), ("simhash_near_dedup", near), ("mixing", mixture), ("packing", packed)]
