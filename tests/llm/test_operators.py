@@ -214,9 +214,14 @@ def test_simhash(docs, rows, empty):
     assert {r["doc_id"] for r in kept.collect()} == alone
 
 
-@pytest.mark.parametrize("tile", [8, 1000])
-def test_simhash_links(spark, tile):
-    """Dense near copies and chains of fingerprints; small tiles cut the buckets."""
+@pytest.mark.parametrize(("tile", "thresholds"), [(8, None), (1000, None), (1000, (1, 1, 0)), (20, (2, -1, 0, 0)), (1000, (2, 1))])
+def test_simhash_links(spark, monkeypatch, tile, thresholds):
+    """Dense near copies and chains of fingerprints; small tiles cut the buckets; other plans than the cheapest one here."""
+    if thresholds:
+        m = len(thresholds)
+        assert sum(thresholds) == 4 - m + 1
+        parts = [list(range(64))[i::m] for i in range(m)]
+        monkeypatch.setattr(simhash, "plan", lambda *_: [(p, t) for p, t in zip(parts, thresholds, strict=True) if t >= 0])
     r = random.Random(3)
     values = {0, 1, 3, 2**63, 2**64 - 1}
     for _ in range(6):
