@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import browse, graph, profile, sync, synonyms
+from tesserae.operators import browse, graph, lookup, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.streaming import drift
 
@@ -501,3 +501,44 @@ def annotation_drift(t):
 def top_parts(t):
     w = W.partitionBy("p_type").orderBy(F.desc("p_retailprice"), "p_partkey")
     return t("part").withColumn("rank", F.row_number().over(w)).where("rank <= 3").select("p_partkey", "p_type", "p_retailprice", "rank")
+
+
+# --- lookups ------------------------------------------------------------------------------------
+
+
+@query(f"""{_TREE}, r AS (SELECT name AS ancestor FROM t WHERE s_nationkey % 2 = 0)
+SELECT t.name, x.root FROM t LEFT JOIN (SELECT up.name, arg_min(ancestor, depth) AS root FROM up JOIN r USING (ancestor) GROUP BY up.name) x USING (name)""")
+def lookup_root_climb(t):
+    """Each node's nearest ancestor of a kind."""
+    return lookup.root_of(_tree(t).withColumn("type", F.when(F.col("s_nationkey") % 2 == 0, "Project").otherwise("Folder")), "Project")
+
+
+@query("SELECT p_brand AS property, arg_min(p_type, (p_partkey, p_type)) AS class FROM part GROUP BY p_brand")
+def lookup_first_use(t):
+    return lookup.first_use(t("part").select(F.col("p_type").alias("class"), F.col("p_partkey").alias("ord"), F.col("p_brand").alias("property")))
+
+
+@query("SELECT p_brand, string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS values FROM part GROUP BY p_brand")
+def lookup_string_lists(t):
+    return lookup.string_lists(t("part"), "p_brand", "p_type")
+
+
+@query("SELECT o_orderstatus, n, round(n / sum(n) OVER () * 100, 1) AS percent FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY ALL)")
+def lookup_tally(t):
+    return lookup.tally(t("orders"), "o_orderstatus")
+
+
+@query("""
+WITH a AS (SELECT n_name AS slot, list_sort(list(DISTINCT c_mktsegment)) AS x FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 3 > 0 GROUP BY ALL),
+b AS (SELECT n_name AS slot, list_sort(list(DISTINCT c_mktsegment)) AS y FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 2 > 0 GROUP BY ALL)
+SELECT slot, list_filter(y, lambda v: NOT list_contains(x, v)) AS added, list_filter(x, lambda v: NOT list_contains(y, v)) AS removed FROM a JOIN b USING (slot) WHERE x <> y""")
+def lookup_range_changes(t):
+    rows = t("customer").join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("slot"), F.col("c_mktsegment").alias("range"))
+    return lookup.range_changes(rows.where("c_custkey % 3 > 0"), rows.where("c_custkey % 2 > 0"))
+
+
+@query("SELECT s_suppkey, 'https://example.org/id/' || CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey::VARCHAR ELSE s_name END AS address FROM supplier WHERE s_nationkey IN (1, 2, 3)")
+def lookup_scan_address(t):
+    rows = lookup.scan(t("supplier"), ["s_suppkey", "s_name"], s_nationkey=[1, 2, 3])
+    id = F.when(F.col("s_suppkey") % 3 > 0, F.col("s_name")).otherwise(F.lit(" "))
+    return rows.select("s_suppkey", lookup.detail_address("https://example.org/id/", id, F.col("s_suppkey")).alias("address"))

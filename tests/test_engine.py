@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import browse, graph, lint, profile, sync, synonyms
+from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.queries import QUERIES, SQL
 from tesserae.sources import model, sinks
@@ -117,6 +117,24 @@ def test_sinks(spark, items, schemas, tmp_path):
     assert one(spark, sinks.key_values(a=F.col("v"), b=F.lit(None)), v="x") == "a=x\nb="
 
 
+def test_lookups(spark, items):
+    found = lookup.enum_file(spark.createDataFrame([("Sex",), ("None",)], "enum string"), model.enum_values(items))
+    assert {r["enum"]: bool(r["file"]) for r in found.collect()} == {"Sex": True, "None": False}
+    known = spark.createDataFrame([(1, "o", "n"), (2, "o", "m"), (3, "o", "m")], "id int, org string, name string")
+    wanted = spark.createDataFrame([("a", 3, "x", "y"), ("b", 9, "o", "m"), ("c", None, "x", "y")], "key string, id int, org string, name string")
+    assert {r["key"]: r["found"] for r in lookup.existing(wanted, known).collect()} == {"a": 3, "b": 2, "c": None}
+    relations = spark.createDataFrame([("Assay", "T", "suggests"), ("Gone", "T", "suggests"), ("Assay", "U", "other")], "`from` string, `to` string, property string")
+    assert [tuple(r) for r in lookup.suggested(relations, model.classes(items)).collect()] == [("Assay", "T")]
+    rows = spark.createDataFrame([({"a": "1", "b": " ", "z": "2"},)], "m map<string,string>")
+    assert lookup.annotated(rows, "m", ["a", "b"]).first()["present"] == ["a"]
+    files = spark.createDataFrame([("a",), ("b",)], "name string")
+    assert [r["name"] for r in lookup.chosen(files, ["a"], ["a"]).collect()] == ["a"] and [r["name"] for r in lookup.chosen(files, exclude=["a"]).collect()] == ["b"]
+    versions = spark.createDataFrame([("a", "1.0.0"), ("b", "1.0.0")], "name string, version string")
+    assert lookup.conflicts(versions, versions.where("name = 'a'")).count() == 1
+    facts = spark.createDataFrame([("s", "p", "2"), ("s", "p", "1"), ("s", "q", "3")], "s string, p string, o string")
+    assert lookup.multimap(facts, "s", "p", "o").first()["properties"] == {"p": ["1", "2"], "q": ["3"]}
+
+
 def test_lint(spark, items):
     assert [r["schema_name"] for r in lint.dangling(spark.createDataFrame([("Assay",), ("Gone",)], "schema_name string"), items).collect()] == ["Gone"]
     assert lint.unknown_ranges(items, ["string", "integer", "float"]).count() == 0
