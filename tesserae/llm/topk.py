@@ -95,14 +95,15 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vector: str = "embedd
     """
     rows = vectors.select(F.col(id).cast("long").alias("id"), quantized(vector, scale).alias("v"), queries.alias("is_query")).where("id IS NOT NULL AND v IS NOT NULL")
     rows = materialize(rows.withColumn("dims", F.size("v")))
-    asked = rows.where("is_query").select("id", "v", "dims").distinct()
+    asked = materialize(rows.where("is_query").select("id", "v", "dims").distinct())
     n, nq = rows.count(), asked.count()
     per = max(1, min(block_rows, max(LEAST_ROWS, n // LEAST_BLOCKS)))
     across, down = max(1, -(-n // per)), max(1, -(-nq // block_rows))
     block = lambda blocks: F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))  # noqa: E731  even if an id repeats
     every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    candidates = rows.select("id", "v", "dims", F.lit(0).alias("role"), block(across).alias("x_block"), every(down).alias("q_block"))
-    asked = asked.select("id", "v", "dims", F.lit(1).alias("role"), every(across).alias("x_block"), block(down).alias("q_block"))
+    # a row's own block is drawn below the explode, so that all its copies share it
+    candidates = rows.select("id", "v", "dims", F.lit(0).alias("role"), block(across).alias("x_block")).withColumn("q_block", every(down))
+    asked = asked.select("id", "v", "dims", F.lit(1).alias("role"), block(down).alias("q_block")).withColumn("x_block", every(across))
 
     def run(table: pa.Table) -> pa.Table:
         role, ids = table.column("role").to_numpy(), table.column("id").to_numpy()
