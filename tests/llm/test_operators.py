@@ -455,8 +455,9 @@ def test_best_fit_holds_every_capacity():
 # --- 9 ------------------------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("scale", [256.0, 3e7])
-def test_topk(spark, scale):
+@pytest.mark.parametrize(("scale", "block"), [(256.0, 90), (3e7, 90), (256.0, 3)])
+def test_topk(spark, monkeypatch, scale, block):
+    monkeypatch.setattr(topk, "LEAST_ROWS", 20)
     r = np.random.default_rng(1)
     vectors = [(i, [float(x) for x in r.standard_normal(16).astype(np.float32)]) for i in range(400)]
     vectors[7] = (7, vectors[100][1])
@@ -464,7 +465,7 @@ def test_topk(spark, scale):
     bad = [(500, None), (550, [None, *vectors[0][1][1:]]), (600, [float("nan")] * 16), (650, [float("inf")] * 16), (None, vectors[3][1]), (700, [])]
     df = spark.createDataFrame([(i, v, 0, "a") for i, v in vectors + bad], "vec_id long, embedding array<float>, label int, score string")
     got = defaultdict(list)
-    for x in topk.top_k(df, F.col("vec_id") % 50 == 0, scale=scale, block_rows=90).orderBy("query_id", "rank").collect():
+    for x in topk.top_k(df, F.col("vec_id") % 50 == 0, scale=scale, block_rows=block).orderBy("query_id", "rank").collect():
         got[x["query_id"]].append((x["vec_id"], x["score"]))
     whole = {i: [int(np.floor(np.float64(x) * scale)) for x in np.array(v, dtype=np.float32)] for i, v in vectors}
     for q in range(0, 400, 50):
