@@ -184,7 +184,7 @@ def _round(rows: DataFrame, tokens: int, round: int, capacity: int, documents: i
         return pdf
 
     kind = rows.schema["id"].dataType.simpleString()
-    keyed = rows.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "ids_crc32"), F.lit(shards)))
+    keyed = rows.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(shards)))  # rows of a written table
     return keyed.groupBy("shard").applyInPandas(run, f"id {kind}, piece int, start long, length long, ids_crc32 long, shard long, sequence_id long, offset long, fill long")
 
 
