@@ -15,13 +15,14 @@ MOST_DEPTH = 50
 
 
 def closure(edges: DataFrame, most: int = MOST_DEPTH) -> DataFrame:
-    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0; a cycle ends at `most`."""
+    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0; a cycle ends at `most`.
+    LIMIT ALL lifts the bound on rows that a recursion has otherwise."""
     sql = """
     WITH RECURSIVE up(name, ancestor, depth) AS (
       SELECT name, name, 0 FROM {edges}
       UNION ALL
       SELECT up.name, e.parent, up.depth + 1 FROM up JOIN {edges} e ON up.ancestor = e.name WHERE e.parent IS NOT NULL AND up.depth < {most})
-    SELECT name, ancestor, min(depth) AS depth FROM up GROUP BY name, ancestor"""
+    SELECT name, ancestor, min(depth) AS depth FROM (SELECT * FROM up LIMIT ALL) GROUP BY name, ancestor"""
     return edges.sparkSession.sql(sql, edges=edges.select("name", "parent"), most=most)
 
 
