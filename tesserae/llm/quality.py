@@ -2,9 +2,10 @@
 
 One model per language over the bytes of the lower-cased text (any script, no vocabulary to cut), trained on trusted text.
 An n-gram of N bytes is one integer, so a prefix is a shift and a suffix a mask, and the whole model is made of counts
-joined by integer keys, sharded by n-gram. Documents are dealt into blocks once. A block sends its distinct n-grams, the
-model answers each distinct n-gram of the corpus once, and the answers come back to the block, where every byte of every
-text is looked up. Text moves once, answers are as many as a block's distinct n-grams, and nothing is broadcast.
+joined by integer keys, sharded by n-gram. Documents are dealt into blocks of one language. A block sends its distinct
+n-grams, the model answers each distinct n-gram of the corpus once, and the answers come back to the block, where every byte
+of every text is looked up. Texts travel compressed, answers are as many as a block's distinct n-grams, and nothing that
+grows is broadcast.
 
 A language's threshold is a quantile of the perplexities of trusted documents that were left out of training.
 """
@@ -15,14 +16,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, small
+from tesserae.llm.common import materialize, slices, small
 
-ORDER = 6
+ORDER = 4
 BLOCK_BYTES = 12_000_000
-LEAST_BLOCKS = 64
+LEAST_BLOCKS = 8
 QUANTILE = 0.995
 #: One trusted document in so many is left out of training and sets the threshold.
 HELD_OUT = 5
@@ -44,86 +46,85 @@ def grams(texts: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     return g[at], np.append(0, np.cumsum(length))
 
 
-def _unique(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    g, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(g, kind="stable")
-    g, n = g[order], n[order]
-    at = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else np.zeros(0, dtype=np.int64)
-    return g[at], np.add.reduceat(n, at) if len(g) else n
-
-
-def _by_language(table: pa.Table) -> Iterator[tuple[str | None, np.ndarray]]:
-    langs = table.column("lang").to_pylist()
-    of: dict[str | None, list[int]] = {}
-    for i, k in enumerate(langs):
-        of.setdefault(k, []).append(i)
-    for k, rows in of.items():
-        yield k, np.array(rows)
-
-
-def _sliced(table: pa.Table, rows: np.ndarray, order: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, n-grams, first position of each row's) of some rows, in slices of about SLICE bytes."""
-    held, size = [], 0
-    column = table.column("text")
-    texts: list[bytes] = []
-    for i in rows.tolist():
-        x = column[i].as_py().encode().lower()
-        held.append(i)
-        texts.append(x)
-        size += len(x)
-        if size >= SLICE:
-            yield np.array(held), *grams(texts, order)
-            held, texts, size = [], [], 0
-    if held:
-        yield np.array(held), *grams(texts, order)
+def _pack(kind: str):
+    """Rows -> one row per batch and block, its texts lower-cased and compressed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            of: dict[tuple, list[int]] = {}
+            for i, k in enumerate(zip(batch.column("lang").to_pylist(), batch.column("slice").to_pylist(), strict=True)):
+                of.setdefault(k, []).append(i)
+            texts, ids, held = batch.column("text"), batch.column("id"), batch.column("held").to_pylist()
+            out: list[list] = [[], [], [], [], [], []]
+            for (lang, part), rows in of.items():
+                own = [texts[i].as_py().encode().lower() for i in rows]
+                for o, x in zip(out, (lang, part, ids.take(pa.array(rows)).to_pylist(), [held[i] for i in rows], [len(t) for t in own], squeeze.compress(b"".join(own))), strict=True):
+                    o.append(x)
+            types = (pa.string(), pa.int64(), pa.list_(ids.type), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], ["lang", "slice", "ids", "held", "bytes", "texts"])
+
+    return run, f"lang string, slice long, ids array<{kind}>, held array<boolean>, bytes array<long>, texts binary"
+
+
+def _texts(row: dict) -> list[bytes]:
+    data = zstandard.ZstdDecompressor().decompress(row["texts"]) if sum(row["bytes"]) else b""
+    edge = np.append(0, np.cumsum(row["bytes"])).astype(np.int64).tolist()
+    return [data[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+
+
+def _sliced(texts: list[bytes], order: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, n-grams, first position of each text) in runs of about SLICE bytes."""
+    for lo, hi in slices(np.array([len(t) for t in texts]), SLICE):
+        yield lo, *grams(texts[lo:hi], order)
 
 
 def _gather(order: int):
-    """A block's documents and trusted ids -> (block, lang, gram, n, trained): its distinct n-grams, and the counts of the
-    trained documents among them."""
+    """A block's documents and trusted ids -> (lang, slice, gram, n): its distinct n-grams, n of them in trained text."""
 
     def run(docs: pa.Table, trusted: pa.Table) -> pa.Table:
         known = set(trusted.column("id").to_pylist())
-        ids, held = docs.column("id").to_pylist(), docs.column("held").to_pylist()
-        train = np.array([i in known and not h for i, h in zip(ids, held, strict=True)], dtype=bool)
-        block = docs.column("block")[0].as_py() if len(docs) else 0
-        out = []
-        for lang, rows in _by_language(docs):
-            for trained in (False, True):
-                parts = []
-                for _, g, _ in _sliced(docs, rows[train[rows] == trained], order):
-                    g = np.sort(g)
-                    at = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else g
-                    parts.append((g[at], np.diff(np.append(at, len(g)))))
-                if parts:
-                    g, n = _unique(parts)
-                    out.append(pa.table({"block": pa.array(np.full(len(g), block)), "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(len(g), dtype=np.int64))), "gram": pa.array(g), "n": pa.array(n), "trained": pa.array(np.full(len(g), trained))}))
-        return pa.concat_tables(out) if out else pa.schema([("block", pa.int64()), ("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64()), ("trained", pa.bool_())]).empty_table()
-
-    return run, "block long, lang string, gram long, n long, trained boolean"
-
-
-def _score(order: int):
+        parts = []
+        for row in docs.to_pylist():
+            texts = _texts(row)
+            train = np.array([i in known and not h for i, h in zip(row["ids"], row["held"], strict=True)], dtype=np.int64)
+            for lo, g, first in _sliced(texts, order):
+                weight = np.repeat(train[lo : lo + len(first) - 1], np.diff(first))
+                at = np.argsort(g, kind="stable")
+                g, weight = g[at], weight[at]
+                new = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else g
+                parts.append((g[new], np.add.reduceat(weight, new) if len(g) else g))
+        g, n = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, dtype=np.int64),) * 2
+        at = np.argsort(g, kind="stable")
+        g, n = g[at], n[at]
+        new = np.flatnonzero(np.append(True, g[1:] != g[:-1])) if len(g) else g
+        n = np.add.reduceat(n, new) if len(g) else n
+        of = docs if len(docs) else trusted
+        lang, part = of.column("lang")[0], of.column("slice")[0]
+        return pa.table({"lang": pa.repeat(lang, len(new)), "slice": pa.repeat(part, len(new)), "gram": g[new], "n": n})
+
+    return run, "lang string, slice long, gram long, n long"
+
+
+def _score(order: int, kind: str):
     """A block's documents and its answers -> (id, lang, held, bytes, logp)."""
 
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        logp, size = np.zeros(len(docs)), np.zeros(len(docs), dtype=np.int64)
-        of: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
-        for lang, rows in _by_language(answers):
-            g, p = (answers.column(c).to_numpy()[rows] for c in ("gram", "logp"))
-            at = np.argsort(g)
-            of[lang] = g[at], p[at]
-        for lang, rows in _by_language(docs):
-            if lang not in of:
-                continue
-            known, p = of[lang]
-            slots, shift = _table(known)
-            for own, g, first in _sliced(docs, rows, order):
-                each = np.append(0.0, np.cumsum(p[_look_up(known, slots, shift, g)]))
-                logp[own], size[own] = each[first[1:]] - each[first[:-1]], np.diff(first)
-        return pa.table({"id": docs.column("id"), "lang": docs.column("lang"), "held": docs.column("held"), "bytes": size, "logp": logp})
-
-    return run
+        known, logp = (answers.column(c).to_numpy() for c in ("gram", "logp"))
+        slots, shift = _table(known)
+        ids, held, size, total = [], [], [], []
+        for row in docs.to_pylist():
+            ids += row["ids"]
+            held += row["held"]
+            size += row["bytes"]
+            for _, g, first in _sliced(_texts(row), order):
+                each = np.append(0.0, np.cumsum(logp[_look_up(known, slots, shift, g)]))
+                total += (each[first[1:]] - each[first[:-1]]).tolist()
+        type_of = docs.schema.field("ids").type.value_type
+        lang = docs.column("lang").to_pylist()[:1] * len(ids)
+        return pa.table({"id": pa.array(ids, type_of), "lang": pa.array(lang, pa.string()), "held": pa.array(held, pa.bool_()), "bytes": pa.array(size, pa.int64()), "logp": pa.array(total, pa.float64())})
+
+    return run, f"id {kind}, lang string, held boolean, bytes long, logp double"
 
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -175,33 +176,29 @@ def model(counts: DataFrame, order: int = ORDER) -> list[tuple[DataFrame, DataFr
     """counts (lang, gram, n) of the highest order -> for each order from 1: (lang, gram, own) with the discounted share of
     an n-gram in its context, and (lang, context, back) with the weight that the context leaves to the next lower order.
     Below the highest order an n-gram counts once for each byte that precedes it."""
-    levels = [counts]
-    for k in range(order - 1, 0, -1):
-        levels.append(levels[-1].groupBy("lang", _suffix(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("n")))
-    out = []
-    for of in reversed(levels):
+    out, of = [], counts
+    for k in range(order, 0, -1):
+        if k < order:
+            of = materialize(of.groupBy("lang", _suffix(F.col("gram"), k).alias("gram")).agg(F.count("*").alias("n")))
         d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        cut = _with_language(of, _discounts(of))
-        cut = cut.withColumn("context", F.shiftright("gram", 8)).withColumn("d", F.least(d, F.col("n")))
-        totals = cut.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("freed"))
-        back = totals.select("lang", "context", (F.col("freed") / F.col("total")).alias("back"), "total")
+        cut = of.join(small(materialize(_discounts(of))), "lang").withColumn("context", F.shiftright("gram", 8)).withColumn("d", F.least(d, F.col("n")))
+        back = cut.groupBy("lang", "context").agg((F.sum("d") / F.sum("n")).alias("back"), F.sum("n").alias("total"))
         own = cut.join(back, ["lang", "context"]).select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("own"))
-        out.append((materialize(own), materialize(back.drop("total"))))
-    return out
-
-
-def _with_language(of: DataFrame, per_language: DataFrame) -> DataFrame:
-    """Joins a table of one row per language; broadcast only if those are few."""
-    return of.join(small(materialize(per_language)), "lang")
+        out.append((own, back.drop("total")))
+    return out[::-1]
 
 
 def answers(asked: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """asked (lang, gram), distinct -> with logp, natural log of the interpolated probability of the last byte."""
-    p = asked.withColumn("p", F.lit(1 / 256))
+    """asked (lang, gram), distinct -> with logp, natural log of the interpolated probability of the last byte. Lower orders
+    are answered once per distinct suffix."""
+    p: DataFrame | None = None
     for k, (own, back) in enumerate(levels, 1):
-        p = p.withColumns({"g": _suffix(F.col("gram"), k), "c": F.shiftright(_suffix(F.col("gram"), k), 8)})
-        p = p.join(own.withColumnRenamed("gram", "g"), ["lang", "g"], "left").join(back.withColumnRenamed("context", "c"), ["lang", "c"], "left")
-        p = p.withColumn("p", F.coalesce("own", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("p")).select("lang", "gram", "p")
+        of = asked if k == len(levels) else asked.select("lang", _suffix(F.col("gram"), k).alias("gram")).distinct()
+        of = of.withColumns({"c": F.shiftright("gram", 8), "lower": _suffix(F.col("gram"), k - 1)})
+        of = of.join(own, ["lang", "gram"], "left").join(back.withColumnRenamed("context", "c"), ["lang", "c"], "left")
+        of = of.withColumn("p", F.lit(1 / 256)) if p is None else of.join(p.withColumnRenamed("gram", "lower"), ["lang", "lower"])
+        p = of.select("lang", "gram", (F.coalesce("own", F.lit(0.0)) + F.coalesce("back", F.lit(1.0)) * F.col("p")).alias("p"))
+        p = materialize(p) if k < len(levels) else p
     return p.select("lang", "gram", F.log("p").alias("logp"))
 
 
@@ -214,21 +211,19 @@ def classify(docs: DataFrame, trusted: DataFrame, text: str = "text", id: str =
     ignored; an empty table gives no rows.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(LEAST_BLOCKS, -(-size // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0
     trusted = trusted.toDF("id").where("id IS NOT NULL").distinct()
-    dealt, known = rows.withColumns({"block": block, "held": held}), trusted.withColumn("block", block)
-    run, schema = _gather(order)
-    found = materialize(dealt.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema))
-    counts = materialize(found.where("trained").groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    levels = model(counts, order)
-    said = answers(found.select("lang", "gram").distinct(), levels)
-    ask = found.select("block", "lang", "gram").distinct()
-    table = ask.join(said, ["lang", "gram"])
+    sizes = rows.groupBy("lang").agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("slices"))
+    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0
+    placed = rows.join(small(materialize(sizes)), "lang").withColumns({"slice": F.pmod(F.xxhash64("id", "text"), F.col("slices")), "held": held})
+    known = placed.select("lang", "slice", "id").join(trusted, "id", "left_semi").select("lang", "slice", "id").distinct()
     kind = rows.schema["id"].dataType.simpleString()
-    scored = dealt.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_score(order), f"id {kind}, lang string, held boolean, bytes long, logp double")
+    block = ["lang", "slice"]
+    packed = placed.select("lang", "slice", "id", "held", "text").mapInArrow(*_pack(kind))
+    found = materialize(packed.groupBy(*block).cogroup(known.groupBy(*block)).applyInArrow(*_gather(order)))
+    asked = materialize(found.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    said = answers(asked.select("lang", "gram"), model(asked.where("n > 0"), order))
+    table = found.select("lang", "slice", "gram").join(materialize(said), ["lang", "gram"])
+    scored = packed.groupBy(*block).cogroup(table.groupBy(*block)).applyInArrow(*_score(order, kind))
     scored = materialize(scored.withColumn("perplexity", F.when(F.col("bytes") > 0, F.exp(-F.col("logp") / F.col("bytes")))).select("id", "lang", "held", "perplexity"))
     quantiles = scored.where("held").join(trusted, "id", "left_semi").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     out = scored.join(small(materialize(quantiles)), "lang", "left")
