@@ -45,9 +45,9 @@ def _keyed(docs: DataFrame, text: Column, id: str, hot_rows: int) -> tuple[DataF
     return base.join(small(hot), "hash", "left").withColumn("salt", salt).drop("copies"), True
 
 
-def survivors(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str = "max", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows of docs that stay, all columns: of equal texts (null counts as empty) the one with the largest
-    (keep="min": smallest) id. A null id loses to any other; of repeated rows with that id, any one stays."""
+def survivors(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str = "min", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows of docs that stay, all columns: of equal texts (null counts as empty) the one with the smallest
+    (keep="max": largest) id. A null id loses to any other; of repeated rows with that id, any one stays."""
     base, some_hot = _keyed(docs, text_or_empty(text), id, hot_rows)
     heads = _sorted(base, ["prefix", "hash", "salt"], keep).where("rank = 1").drop("rank", "head", "weight")
     if not some_hot:
@@ -57,8 +57,9 @@ def survivors(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str
     return heads.where("salt < 0").select("row.*").unionByName(hot.select("row.*"))
 
 
-def decisions(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str = "max", hot_rows: int = HOT_ROWS) -> DataFrame:
-    """One row per row of docs: id, keep_id (the id that stays among equal texts), group_size, kept, text_sha256.
+def decisions(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str = "min", hot_rows: int = HOT_ROWS) -> DataFrame:
+    """One row per row of docs: id, keep_id (the id that stays among equal texts: the smallest, or keep="max" the largest),
+    group_size, kept, text_sha256.
 
     Null text counts as empty. A null id loses to any other id; a group of null ids keeps one row and has a null keep_id.
     Of repeated rows with the id that stays, one is kept. An empty table gives no rows. Other columns are ignored.
