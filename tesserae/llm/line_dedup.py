@@ -130,7 +130,8 @@ def lines(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
 
 
 def _keys(edits: int):
-    """Distinct lines -> (route, key, lid, seg, len, own): substrings under which they are filed (own) or probe."""
+    """Distinct lines -> (key, lid, meta): substrings under which they are filed or probe. meta packs the length of the
+    filed line, the segment, and whether the row files, is sure, or has a sure copy."""
 
     def settle(block: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not block:
@@ -144,9 +145,9 @@ def _keys(edits: int):
         group = np.cumsum(lead) - 1
         many = np.bincount(group)[group] > 1
         # one row of a key asks under the key; where a block knows it to be shared, all its rows are sure already
-        sent = [(lead, np.zeros(len(key), dtype=bool), key), (many, many, mixed(key.view(np.uint64) ^ mixed(lid.view(np.uint64))).view(np.int64))]
-        for take, sure, route in sent:
-            yield pa.RecordBatch.from_arrays([pa.array(x[take]) for x in (route, key, lid, seg, size, own, sure, many)], ["route", "key", "lid", "seg", "len", "own", "sure", "twice"])
+        meta = size.astype(np.int64) << 16 | seg.astype(np.int64) << 4 | own << 2
+        for take, flags in ((lead, many.astype(np.int64)), (many, 2)):
+            yield pa.RecordBatch.from_arrays([pa.array(key[take]), pa.array(lid[take]), pa.array((meta | flags)[take])], ["key", "lid", "meta"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = [], 0
@@ -174,7 +175,7 @@ def _keys(edits: int):
                 lo = hi
         yield from settle(block)
 
-    return run, "route long, key long, lid long, seg int, len int, own boolean, sure boolean, twice boolean"
+    return run, "key long, lid long, meta long"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,13 +184,14 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = starts(table, ["key"])
         size = np.diff(np.append(first, len(table)))
         group = np.repeat(np.arange(len(first)), size)
-        sure = table.column("sure").to_numpy()
+        meta = table.column("meta").to_numpy()
+        sure, twice = (meta & 2) > 0, (meta & 1) > 0
         asking = np.bincount(group, ~sure, len(first))
-        twice = np.bincount(group, table.column("twice").to_numpy() & ~sure, len(first)) > 0
-        # an asking row whose block has sent it as sure too would be there twice
-        keep = sure | ((asking[group] > 1) & ~table.column("twice").to_numpy())
-        if keep.any() or twice.any():
-            yield from table.select(["key", "lid", "seg", "len", "own"]).filter(pa.array(keep)).to_batches()
+        keep = sure | ((asking[group] > 1) & ~twice)  # what its block has sent as sure too would be there twice
+        if keep.any():
+            meta = meta[keep]
+            own = [table.column(c).to_numpy()[keep] for c in ("key", "lid")]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, own), pa.array((meta >> 4 & 0xFFF).astype(np.int32)), pa.array((meta >> 16).astype(np.int32)), pa.array((meta & 4) > 0)], ["key", "lid", "seg", "len", "own"])
 
 
 def _verified(edits: int):
@@ -229,11 +231,15 @@ def _verified(edits: int):
 def joined(distinct: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS, tile: int = TILE) -> DataFrame:
     """distinct (lid, line) -> (lid, other, links): per tile a line's number of links and a line of its component."""
     long = distinct.where(F.length("line") >= least).select("lid", "line")
-    rows = long.mapInArrow(*_keys(edits)).repartition("route").sortWithinPartitions("key")
-    members = materialize(rows.mapInArrow(_shared, "key long, lid long, seg int, len int, own boolean"))
-    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("filed")).where("n > 1 AND filed")
-    sizes = materialize(sizes.select("key", F.ceil(F.col("n") / tile).alias("chunks")))
-    dealt = members.join(sizes, "key").withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")))
+    # sure rows go anywhere, the others to their key
+    route = F.when(F.col("meta").bitwiseAND(F.lit(2)) > 0, F.xxhash64("key", "lid")).otherwise(F.col("key"))
+    rows = long.mapInArrow(*_keys(edits)).repartition(route).sortWithinPartitions("key")
+    members = rows.mapInArrow(_shared, "key long, lid long, seg int, len int, own boolean")
+    # one plan from lines to links, so that Spark moves the lines once; joined on seg and len too, so that both sides of
+    # the join are dealt out for it and a key of very many lines can be split
+    sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("filed"), F.max("seg").alias("seg"), F.max("len").alias("len"))
+    sizes = sizes.where("n > 1 AND filed").select("key", "seg", "len", F.ceil(F.col("n") / tile).alias("chunks"))
+    dealt = members.join(sizes, ["key", "seg", "len"]).withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
     dealt = dealt.withColumn("tile", F.least("chunk", "other") * F.col("chunks") + F.greatest("chunk", "other"))
     dealt = dealt.select("key", "tile", "chunk", (F.col("chunk") != F.col("other")).alias("across"), "lid", "seg", "own").join(long, "lid")
