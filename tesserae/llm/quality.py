@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tesserae.llm.common import materialize, slices, small
 
-ORDER = 4
+ORDER = 6
 BLOCK_BYTES = 12_000_000
 LEAST_BLOCKS = 8
 QUANTILE = 0.995

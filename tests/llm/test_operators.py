@@ -132,6 +132,19 @@ def test_quality(spark, docs, rows):
         assert r["kept"] == (r["threshold"] is None or r["perplexity"] <= r["threshold"])
 
 
+def test_quality_default_order(spark):
+    """Words of five letters that differ only where five bytes of context tell them apart."""
+    r = random.Random(8)
+    texts = [" ".join(r.choice(["aabab", "babab", "abaab", "bbaba", "aaaab"]) for _ in range(30)) for _ in range(12)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    held = {r["doc_id"]: r["h"] for r in docs.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(quality.HELD_OUT)) == 0).alias("h")).collect()}
+    p = kneser_ney([t.encode() for i, t in enumerate(texts) if not held[i]], 6)
+    for x in quality.classify(docs, docs.select("doc_id")).collect():
+        data = texts[x["doc_id"]].encode()
+        logs = [np.log(p((bytes(5) + data)[j : j + 6])) for j in range(len(data))]
+        assert x["perplexity"] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-9)
+
+
 def test_quality_without_rows(spark, empty, docs):
     assert quality.classify(empty, empty.select("doc_id")).count() == 0
     untrained = quality.classify(docs, empty.select("doc_id")).where("perplexity IS NOT NULL").select("perplexity").distinct().collect()
