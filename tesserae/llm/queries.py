@@ -43,7 +43,7 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.deduped(_table(spark, sf_dir, "documents"))
+    return line_dedup.deduped(_table(spark, sf_dir, "documents"), least=line_dedup.MAX_EDITS + 1)  # as short as segments go
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tesserae.llm import exact_dedup, langid, line_dedup, mixing, packing, pii, quality, simhash, substring, topk
+from tesserae.llm import exact_dedup, langid, line_dedup, mixing, packing, pii, quality, queries, simhash, substring, topk
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -423,6 +423,13 @@ def test_line_dedup(spark, tile):
     same(got, want)
 
 
+def test_line_dedup_query_joins_short_lines(spark, tmp_path):
+    texts = ["Copyright 2019 Acme", "Copyright 2020 Acme", "the end", "then end", "abc", "abd", "xyzw", "12", "34"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: [(x["class_id"], x["links"]) for x in r["lines"] or []] for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
+    assert got == {0: [(0, 1)], 1: [(0, 1)], 2: [(2, 1)], 3: [(2, 1)], 4: [(4, 1)], 5: [(4, 1)], 6: [], 7: [], 8: []}
+
+
 def test_line_dedup_edges(docs, empty):
     assert line_dedup.deduped(empty).count() == 0
     assert line_dedup.deduped(docs).count() == docs.count()
