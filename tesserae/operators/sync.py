@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: first_route() folds so many patterns into one expression and fails above.
+MOST_PATTERNS = 1_000
+
 
 def complete(rows: DataFrame, *required: str) -> DataFrame:
     """Rows whose required fields are neither null nor blank."""
@@ -64,7 +67,9 @@ def latest_version(versions: DataFrame, key: str, version: Column) -> DataFrame:
 def first_route(rows: DataFrame, address: str, patterns: DataFrame) -> DataFrame:
     """rows with `target` of the first pattern (ord, pattern, target) that the address contains; the pattern table is
     small by nature and is folded into one expression, so there is no nested-loop join."""
-    rules = [(r["pattern"], r["target"]) for r in patterns.orderBy("ord").limit(1_000).collect()]
+    rules = [(r["pattern"], r["target"]) for r in patterns.orderBy("ord").limit(MOST_PATTERNS + 1).collect()]
+    if len(rules) > MOST_PATTERNS:
+        raise ValueError(f"more than {MOST_PATTERNS} patterns do not fit an expression")
     text = F.col(address)
     return rows.withColumn("target", reduce(lambda rest, rule: F.when(text.contains(rule[0]), rule[1]).otherwise(rest), reversed(rules), F.lit(None).cast("string")))
 

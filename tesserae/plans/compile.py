@@ -11,19 +11,27 @@ from tesserae.sources import model
 DROPPED = ("Filename", "Component")
 #: Types of the ranges that are no vocabularies.
 SCALARS = {"string": "string", "integer": "integer", "float": "number", "double": "number", "boolean": "boolean", "date": "string"}
-MOST_DEPTH = 50
+#: Levels that one recursion climbs; Spark ends a deeper one with an error.
+LEVELS = 50
 
 
-def closure(edges: DataFrame, most: int = MOST_DEPTH) -> DataFrame:
-    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0; a cycle ends at `most`.
-    LIMIT ALL lifts the bound on rows that a recursion has otherwise."""
+def closure(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
+    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0. Climbs `levels` at a time
+    until a round finds no pair at its last level; depths are least ones, so a cycle ends too. LIMIT ALL lifts the bound on
+    rows that a recursion has otherwise."""
     sql = """
     WITH RECURSIVE up(name, ancestor, depth) AS (
-      SELECT name, name, 0 FROM {edges}
+      SELECT name, ancestor, depth FROM {start}
       UNION ALL
       SELECT up.name, e.parent, up.depth + 1 FROM up JOIN {edges} e ON up.ancestor = e.name WHERE e.parent IS NOT NULL AND up.depth < {most})
     SELECT name, ancestor, min(depth) AS depth FROM (SELECT * FROM up LIMIT ALL) GROUP BY name, ancestor"""
-    return edges.sparkSession.sql(sql, edges=edges.select("name", "parent"), most=most)
+    edges, most = edges.select("name", "parent"), levels
+    climb = lambda start, most: edges.sparkSession.sql(sql, edges=edges, start=start, most=most)
+    found = climb(edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")), most).localCheckpoint()
+    while not (last := found.where(F.col("depth") == most)).isEmpty():
+        most += levels
+        found = found.union(climb(last, most)).groupBy("name", "ancestor").agg(F.min("depth").alias("depth")).localCheckpoint()
+    return found
 
 
 def _overlay(outer: Column, own: Column) -> Column:

@@ -157,6 +157,22 @@ def test_closure_ends_on_cycles(spark):
     assert {(r["name"], r["ancestor"]) for r in compile.closure(edges, 5).collect()} == {("a", "a"), ("a", "b"), ("b", "b"), ("b", "a"), ("c", "c")}
 
 
+def test_closure_is_whole(spark):
+    """A chain of 20 steps, climbed 7 at a time, with a short cut from its end and a cycle at its top."""
+    edges = [(f"n{i}", f"n{i + 1}") for i in range(20)] + [("n20", "n18"), ("n0", "n3")]
+    got = {(r["name"], r["ancestor"]): r["depth"] for r in compile.closure(spark.createDataFrame(edges, "name string, parent string"), 7).where("name IN ('n0', 'n19')").collect()}
+    want = {("n0", f"n{i}"): i if i < 3 else i - 2 for i in range(21)} | {("n19", "n19"): 0, ("n19", "n20"): 1, ("n19", "n18"): 2}
+    assert got == want
+
+
+def test_no_rule_is_dropped(spark):
+    patterns = spark.range(1_001).selectExpr("id AS ord", "concat('p', id) AS pattern", "'t' AS target")
+    with pytest.raises(ValueError):
+        sync.first_route(spark.createDataFrame([("p1000",)], "url string"), "url", patterns)
+    rules = spark.range(1).selectExpr("'REPLACE' AS kind", "transform(sequence(0, 1200), x -> concat('t', x)) AS terms")
+    assert synonyms.rewrites(rules).count() == 1_200
+
+
 def one(spark, column, **values):
     df = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {'array<string>' if isinstance(v, list) else 'string'}" for k, v in values.items()))
     return df.select(column.alias("x")).first()["x"]
