@@ -26,11 +26,13 @@ def closure(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
       SELECT up.name, e.parent, up.depth + 1 FROM up JOIN {edges} e ON up.ancestor = e.name WHERE e.parent IS NOT NULL AND up.depth < {most})
     SELECT name, ancestor, min(depth) AS depth FROM (SELECT * FROM up LIMIT ALL) GROUP BY name, ancestor"""
     edges, most = edges.select("name", "parent"), levels
+    if not edges.sparkSession.conf.get("spark.checkpoint.dir", None):
+        edges.sparkSession.sparkContext.setCheckpointDir("/tmp/checkpoints")
     climb = lambda start, most: edges.sparkSession.sql(sql, edges=edges, start=start, most=most)
-    found = climb(edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")), most).localCheckpoint()
+    found = climb(edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")), most).checkpoint()
     while not (last := found.where(F.col("depth") == most)).isEmpty():
         most += levels
-        found = found.union(climb(last, most)).groupBy("name", "ancestor").agg(F.min("depth").alias("depth")).localCheckpoint()
+        found = found.union(climb(last, most)).groupBy("name", "ancestor").agg(F.min("depth").alias("depth")).checkpoint()
     return found
 
 
