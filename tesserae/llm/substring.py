@@ -1,36 +1,44 @@
 """Substring dedup by relative Lempel-Ziv parsing (operator 10).
 
-Every document is factored against an index of all documents. The index holds seeds: short word sequences chosen by
-content (the least hash among a window's seeds), so that a window and its copy anywhere choose the same seed at the same
-place in them. A seed that the index has from one place only is a literal; runs of seeds that it has from several places
-are factors. Only windows whose seed lies in a factor can repeat, and those are checked, factor boundaries included, by a
-128-bit fingerprint: the seed's hash and the window's own. Windows that start at two or more places become duplicate spans.
-
-Documents come in blocks. A block first looks its windows up in itself; what repeats there is settled and shipped once.
-The rest meets the other blocks under the seed, in runs of neighbouring windows. A seed from very many places is split by
-window hash, so neither a frequent passage nor its many different surroundings fill a task. Equal texts are parsed once,
-with their number of copies as weight.
+Documents are factored greedily, left to right, against indexed reference blocks: a factor is the longest run of words at a
+place that also stands elsewhere in the block, and a factor of a window's length or more is a duplicate span. The parse goes
+on one window before a factor's end, so windows that cross its boundary are looked up too.
+
+A factor of a window's length holds the anchor of each of its windows: the word sequence of least hash among those in the
+window, which a copy chooses at the same place. So a document need not meet a block with which it shares no anchor. Blocks
+come in two kinds: what a task holds at a time, parsed against itself; and the passages (the windows around one anchor) that
+all tasks send to the anchor's block. A block's index is a suffix array of its words, by content and not by hash; neighbours in
+it give each place its longest match, so nothing is compared pair by pair. Longer matches are cut into several factors.
+
+A task settles what repeats inside it and sends a window on once. An anchor from very many places is lengthened to the whole
+window (128-bit hash), so neither a frequent passage nor its many different surroundings fill a task. Equal texts (two
+64-bit hashes) are parsed once.
 """
 
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.llm.common import materialize, text_or_empty
-from tesserae.llm.simhash import groups, starts
+from tesserae.llm.simhash import groups
 from tesserae.llm.words import Words, mixed, runs_hash, words
 
 WINDOW = 35
 SEED = 12
-#: Windows that a block holds at a time.
-BLOCK_WINDOWS = 1_000_000
+#: Windows of a passage, at most: so many choose one anchor.
+MOST_RUN = 63
+#: Words that a block of a task holds at a time.
+BLOCK_WORDS = 1_000_000
 #: Places of one seed that may meet in one group of rows.
 HOT_PLACES = 1_000
 SEED_BASE, WINDOW_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
@@ -65,10 +73,6 @@ class Parse:
         return self.row[new], self.owner[new]
 
 
-def window_hash(w: Words, starts: np.ndarray, window: int) -> np.ndarray:
-    return mixed(runs_hash(w.hash ^ np.uint64(WINDOW_BASE), starts, starts + window, WINDOW_BASE))
-
-
 def index(texts: DataFrame, window: int, seed: int) -> DataFrame:
     """texts (id, check, text) -> (id, check, hits): the chosen seeds of each text that the index has from several places,
     each with its first word and the number of groups over which its windows are split. Texts without any are left out."""
@@ -96,41 +100,109 @@ def index(texts: DataFrame, window: int, seed: int) -> DataFrame:
     return hits.groupBy("id", "check").agg(F.collect_set(F.struct("place", "split")).alias("hits"))  # copies say the same
 
 
-def _runs(window: int, seed: int):
-    """Pass over (id, check, copies, text, hits): runs of windows to be compared under their seed, and settled ones."""
-    names = ["route", "seed", "part", "id", "check", "first", "settled", "hashes"]
+class Block:
+    """A suffix array of passages, sorted as deep as the first power of two above a window.
+
+    word: ids of their words, equal only for equal words; edge: where each passage begins, and the end. size: words of the
+    longest run at each place that also stands at another, up to that depth; 0 if it is under a window. code: a number for
+    each place's window, -1 where none starts."""
+
+    def __init__(self, word: np.ndarray, edge: np.ndarray, window: int):
+        self.edge, self.window = edge, window
+        n, depth = len(word), 1 << window.bit_length()
+        rest = np.repeat(edge[1:], np.diff(edge)) - np.arange(n)  # words to the passage's end
+        rank, k = {1: word.astype(np.int64) + 1}, 1
+        while k < depth:  # the order of runs of 2k words from that of runs of k
+            after = np.zeros(n, dtype=np.int64)
+            inner = np.flatnonzero(rest > k)
+            after[inner] = rank[k][inner + k]
+            rank[2 * k] = 1 + np.unique(rank[k] * (n + 2) + after, return_inverse=True)[1]
+            k *= 2
+        order = np.argsort(rank[depth], kind="stable")
+        a, b = order[:-1], order[1:]  # neighbours in order share the longest runs
+        shared = np.zeros(max(0, n - 1), dtype=np.int64)
+        for k in sorted(rank, reverse=True):
+            at = np.flatnonzero(np.minimum(rest[a], rest[b]) >= shared + k)
+            shared[at[rank[k][a[at] + shared[at]] == rank[k][b[at] + shared[at]]]] += k
+        shared = np.minimum(shared, depth)  # neighbours are in no order beyond
+        self.size = np.zeros(n, dtype=np.int64)
+        self.size[a] = shared
+        self.size[b] = np.maximum(self.size[b], shared)
+        self.size[self.size < window] = 0
+        self.code = np.empty(n, dtype=np.int64)
+        self.code[order] = np.cumsum(np.append(1, shared < window)[:n])
+        self.code[rest < window] = -1
+
+    def factors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(passage, first word in it, words) of the factors of a greedy parse of every passage."""
+        places, out, i = np.flatnonzero(self.size), [], 0
+        at, size = places.tolist(), self.size[places].tolist()
+        while i < len(at):
+            out.append(i)
+            i = bisect_left(at, at[i] + size[i] - self.window + 1, i + 1)
+        found = places[out]
+        passage = np.searchsorted(self.edge, found, side="right") - 1
+        return passage, found - self.edge[passage], self.size[found]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A number for each different pair of non-negative numbers."""
+    return pd.factorize(a * (int(b.max(initial=0)) + 1) + b)[0]
+
+
+def _often(code: np.ndarray) -> np.ndarray:
+    return np.bincount(code)[code] > 1 if len(code) else np.zeros(0, dtype=bool)
+
+
+_NAMES = ["route", "seed", "part", "mark", "id", "check", "first", "size", "words"]
+_FACTOR, _PASSAGE = -1, 0
+
+
+def _sent(seed, part, route, mark, id, check, first, size, passages=None) -> pa.RecordBatch:
+    columns = [pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (route, seed, part, mark, id, check, first, size)]
+    return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(id), pa.binary()) if passages is None else pa.array(passages, pa.binary())], _NAMES)
+
+
+def _parse_own(window: int, seed: int):
+    """Pass over (id, check, copies, text, hits): factors of documents against the block that their task holds (part -1), and
+    what is to meet other blocks under an anchor: passages (part 0), or single windows of an anchor from very many places."""
 
     def settle(block: list[tuple]) -> Iterator[pa.RecordBatch]:
         if not block:
             return
-        ids, check, sure, owner_seed, split, first, n, flat = (np.concatenate(x) for x in zip(*block, strict=True))
-        edge = np.concatenate([[0], np.cumsum(n)])
-        of = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((flat, owner_seed[of]))
-        same = np.append(False, (flat[order][1:] == flat[order][:-1]) & (owner_seed[of][order][1:] == owner_seed[of][order][:-1]))
-        group = np.cumsum(~same) - 1
-        often = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, dtype=bool)
-        lead = np.zeros(len(flat), dtype=bool)
-        lead[order] = ~same
-        known = np.zeros(len(flat), dtype=bool)
-        known[order] = often
-        known |= sure[of]
-        bit = np.int64(1) << (np.arange(len(flat)) - edge[of])
-        settled = np.add.reduceat(np.where(known, bit, 0), edge[:-1])
-        asks = np.logical_or.reduceat(lead, edge[:-1])  # some window of the run is new to its block
-        whole, hot = asks & (split == 1), asks & (split > 1)
-        raw = flat.view(np.int64)
-        # settled runs only pass on their marks; their route is their own
-        quiet = np.flatnonzero(~whole & (settled != 0))
-        yield _batch(names, [mixed(ids[quiet].view(np.uint64) + quiet.astype(np.uint64)).view(np.int64), owner_seed[quiet].view(np.int64), np.full(len(quiet), -1), ids[quiet], check[quiet], first[quiet], settled[quiet]], np.zeros(len(quiet), dtype=np.int64), raw[:0])
-        at = np.flatnonzero(whole)
-        yield _batch(names, [owner_seed[at].view(np.int64), owner_seed[at].view(np.int64), np.zeros(len(at), dtype=np.int64), ids[at], check[at], first[at], settled[at]], n[at], raw[np.repeat(whole, n)])
-        # of a seed from very many places each window goes its own way
-        at = np.flatnonzero(hot[of] & lead)
-        run = of[at]
-        part = 1 + (flat[at] % split[run].astype(np.uint64)).astype(np.int64)
-        route = mixed(owner_seed[run] + part.astype(np.uint64)).view(np.int64)
-        yield _batch(names, [route, owner_seed[run].view(np.int64), part, ids[run], check[run], first[run] + (at - edge[run]), known[at].astype(np.int64)], np.ones(len(at), dtype=np.int64), raw[at])
+        live, hashes, length, ids, check, alone, first, run_region, run_at, run_windows, run_seed, run_split = zip(*block, strict=True)
+        count = np.cumsum([0, *map(len, length[:-1])])
+        run_region = np.concatenate([r + c for r, c in zip(run_region, count, strict=True)])
+        hashes, length, ids, check, alone, first, run_at, run_windows, run_seed, run_split = map(np.concatenate, (hashes, length, ids, check, alone, first, run_at, run_windows, run_seed, run_split))
+        text = pa.chunked_array(live).dictionary_encode().combine_chunks()
+        edge = np.concatenate([[0], np.cumsum(length)])
+        index = Block(text.indices.to_numpy(zero_copy_only=False), edge, window)
+        region, at, size = index.factors()
+        told = alone[region]  # a text with copies goes as a whole
+        region, at, size = region[told], at[told], size[told]
+        none, own = np.zeros(len(region), dtype=np.int64), mixed(ids[region].view(np.uint64) + at.astype(np.uint64))
+        yield _sent(own, none + _FACTOR, own, none, ids[region], check[region], first[region] + at, size)
+        lead = np.zeros(len(text), dtype=bool)  # the first place of each window in the block
+        starts_at = np.flatnonzero(index.code >= 0)
+        lead[starts_at] = ~pd.Series(index.code[starts_at]).duplicated().to_numpy()
+        begin = edge[run_region] + run_at
+        upto = np.concatenate([[0], np.cumsum(lead)])
+        new = upto[begin + run_windows] > upto[begin]
+        word = text.dictionary.to_pylist()
+        code = text.indices.to_numpy(zero_copy_only=False)
+        run = np.flatnonzero(new & (run_split == 1))
+        passages = [b" ".join([word[i] for i in code[a:b].tolist()]) for a, b in zip(begin[run].tolist(), (begin[run] + run_windows[run] + window - 1).tolist(), strict=True)]
+        none = np.zeros(len(run), dtype=np.int64)
+        r = run_region[run]
+        yield _sent(run_seed[run], none + _PASSAGE, run_seed[run], none, ids[r], check[r], first[r] + run_at[run], none, passages)
+        run = np.flatnonzero(new & (run_split > 1))
+        of = np.repeat(run, run_windows[run])
+        place = np.repeat(begin[run] - np.cumsum(run_windows[run]) + run_windows[run], run_windows[run]) + np.arange(len(of))
+        of, place = of[lead[place]], place[lead[place]]
+        mark = mixed(runs_hash(hashes ^ np.uint64(WINDOW_BASE), place, place + window, WINDOW_BASE))
+        part = 1 + (mark % run_split[of].astype(np.uint64)).astype(np.int64)
+        r = run_region[of]
+        yield _sent(run_seed[of], part, mixed(run_seed[of] + part.astype(np.uint64)), mark, ids[r], check[r], first[r] + place - edge[r], np.full(len(of), window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held = [], 0
@@ -141,69 +213,73 @@ def _runs(window: int, seed: int):
                 p = Parse(w, window, seed)
                 if not len(p.owner):
                     continue
-                split = np.zeros(len(w) + 1, dtype=np.int64)  # by a seed's first word
+                split = np.zeros(len(w) + 1, dtype=np.int64)  # by an anchor's first word
                 own = hits.slice(w.lo, w.hi - w.lo)
                 for i in np.flatnonzero(np.asarray(own.is_valid())).tolist():
                     marks = own[i].values
                     split[w.of[i] + marks.field("place").to_numpy()] = marks.field("split").to_numpy()
                 live = split[p.owner] > 0
-                starts_at, row, owner = p.starts[live], p.row[live], p.owner[live]
+                at, row, owner = p.starts[live], p.row[live], p.owner[live]
                 if not len(owner):
                     continue
-                new = np.append(True, (owner[1:] != owner[:-1]) | (row[1:] != row[:-1]) | (starts_at[1:] != starts_at[:-1] + 1))
-                at = np.flatnonzero(new)
-                r = row[at] + w.lo
-                block.append((ids[r], check[r], copies[r] > 1, p.seed[owner[at]], split[owner[at]], starts_at[at] - w.of[row[at]], np.diff(np.append(at, len(owner))), window_hash(w, starts_at, window)))
-                held += len(owner)
-                if held >= BLOCK_WINDOWS:
+                # a region is a row's words under consecutive windows whose anchors stand elsewhere too
+                opens = np.append(True, (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1))
+                turns = opens | np.append(True, owner[1:] != owner[:-1])
+                region, runs = np.flatnonzero(opens), np.flatnonzero(turns)
+                windows = np.diff(np.append(region, len(at)))
+                begin, n = at[region], windows + window - 1
+                word = np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())
+                r = row[region] + w.lo
+                of = (np.cumsum(opens) - 1)[runs]
+                block.append((w.taken(word), w.hash[word], n, ids[r], check[r], copies[r] == 1, begin - w.of[row[region]], of, at[runs] - begin[of], np.diff(np.append(runs, len(at))), p.seed[owner[runs]], split[owner[runs]]))
+                held += len(word)
+                if held >= BLOCK_WORDS:
                     yield from settle(block)
                     block, held = [], 0
         yield from settle(block)
 
-    return run, "route long, seed long, part long, id long, check long, first long, settled long, hashes array<long>"
+    return run, "route long, seed long, part long, mark long, id long, check long, first long, size long, words binary"
 
 
-def _batch(names: list[str], columns: list[np.ndarray], n: np.ndarray, flat: np.ndarray) -> pa.RecordBatch:
-    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(flat))
-    return pa.RecordBatch.from_arrays([*map(pa.array, columns), lists], names)
+def _parse_shared(window: int):
+    """Rows sorted by anchor -> factors (id, check, first, size): passages are parsed against the block of those that share
+    their anchors; of a lengthened anchor every place is a factor if there are several."""
 
-
-def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted runs -> (id, check, first, mask): bit j marks the window at first + j as starting elsewhere too."""
-    for table in groups(batches, ["seed", "part"], 20_000):
-        lists = table.column("hashes").combine_chunks()
-        n, flat = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-        first = starts(table, ["seed", "part"])
-        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(table))))
-        of, edge = np.repeat(np.arange(len(n)), n), np.concatenate([[0], np.cumsum(n)])
-        order = np.lexsort((flat, group[of]))
-        same = np.append(False, (flat[order][1:] == flat[order][:-1]) & (group[of][order][1:] == group[of][order][:-1]))[: len(flat)]
-        member = np.cumsum(~same) - 1
-        often = np.zeros(len(flat), dtype=bool)
-        often[order] = np.bincount(member)[member] > 1 if len(member) else False
-        mask = table.column("settled").to_numpy().copy()
-        np.bitwise_or.at(mask, of, np.where(often, np.int64(1) << (np.arange(len(flat)) - edge[of]), 0))
-        keep = mask != 0
-        yield pa.RecordBatch.from_arrays([pa.array(table.column(c).to_numpy()[keep]) for c in ("id", "check", "first")] + [pa.array(mask[keep])], ["id", "check", "first", "mask"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, ["seed", "part"], 20_000):
+            part, mark, seed, id, check, first, size = (table.column(c).to_numpy() for c in ("part", "mark", "seed", "id", "check", "first", "size"))
+            keep = part == _FACTOR
+            single = np.flatnonzero(part > 0)
+            code = _pairs(pd.factorize(seed[single])[0], pd.factorize(mark[single])[0])
+            keep[single[_often(code)]] = True
+            found = [(id[keep], check[keep], first[keep], size[keep])]
+            at = np.flatnonzero(part == _PASSAGE)
+            if len(at):
+                lists = pc.ascii_split_whitespace(table.column("words").combine_chunks().take(pa.array(at)).cast(pa.large_string()))
+                word = lists.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                passage, place, n = Block(word, np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]), window).factors()
+                found.append((id[at][passage], check[at][passage], first[at][passage] + place, n))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["id", "check", "first", "size"])
+
+    return run, "id long, check long, first long, size long"
 
 
 def _cut(window: int, with_text: bool):
-    """Pass over (id, check, text, marks): words and removed words; digest of what is kept, or the kept text."""
+    """Pass over (id, check, copies, text, marks): words and removed words; digest of what is kept, or the kept text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, out = batch.column("marks"), []
+            marks, copies, out = batch.column("marks"), batch.column("copies").to_numpy(), []
             for i, text in enumerate(batch.column("text")):
                 own = text.as_py().encode().split()
-                gone = 0
-                n = len(own)
-                if marks[i].is_valid:
-                    first, mask = (marks[i].values.field(k).to_numpy() for k in ("first", "mask"))
-                    bits = (mask[:, None] >> np.arange(63)) & 1
-                    r, j = np.nonzero(bits)
+                n, gone = len(own), 0
+                if copies[i] > 1 and n >= window:
+                    own, gone = [], n
+                elif marks[i].is_valid:
+                    first, size = (marks[i].values.field(k).to_numpy() for k in ("first", "size"))
                     edge = np.zeros(n + 1, dtype=np.int64)
-                    np.add.at(edge, first[r] + j, 1)
-                    np.add.at(edge, first[r] + j + window, -1)
+                    np.add.at(edge, first, 1)
+                    np.add.at(edge, first + size, -1)
                     keep = np.cumsum(edge[:-1]) == 0
                     gone = n - int(keep.sum())
                     own = [own[k] for k in np.flatnonzero(keep).tolist()]
@@ -222,14 +298,14 @@ def repeated_windows(docs: DataFrame, text: str = "text", id: str = "doc_id", wi
     Null and empty texts, and texts shorter than a window, lose nothing. Null ids and repeated rows are kept: their texts
     are copies of each other. Extra columns are ignored; an empty table gives no rows.
     """
-    seed = min(window, max(SEED, window - 62))
-    rows = docs.select(F.col(id).alias("doc"), text_or_empty(text).alias("text")).withColumns({"id": F.xxhash64("text"), "check": F.crc32(F.col("text").cast("binary"))})
+    seed = min(window, max(SEED, window - MOST_RUN + 1))
+    rows = docs.select(F.col(id).alias("doc"), text_or_empty(text).alias("text")).withColumns({"id": F.xxhash64("text"), "check": F.xxhash64(F.lit(1), F.col("text"))})
     hits = materialize(index(rows.select("id", "check", "text"), window, seed))
     # both passes over texts read the same columns, so that Spark moves the texts once
     texts = rows.groupBy("id", "check").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     parsed = texts.join(hits, ["id", "check"], "left").select("id", "check", "copies", "text", "hits")
-    runs = parsed.mapInArrow(*_runs(window, seed)).repartition("route").sortWithinPartitions("seed", "part")
-    marks = runs.mapInArrow(_marks, "id long, check long, first long, mask long").groupBy("id", "check").agg(F.collect_list(F.struct("first", "mask")).alias("marks"))
+    met = parsed.mapInArrow(*_parse_own(window, seed)).repartition("route").sortWithinPartitions("seed", "part")
+    marks = met.mapInArrow(*_parse_shared(window)).groupBy("id", "check").agg(F.collect_list(F.struct("first", "size")).alias("marks"))
     cut = texts.join(marks, ["id", "check"], "left").select("id", "check", "copies", "text", "marks").mapInArrow(*_cut(window, with_text))
     kept = "kept_text" if with_text else "kept_sha256"
     return rows.select("doc", "id", "check").join(cut, ["id", "check"]).select(F.col("doc").alias(id), "n_words", "n_removed", F.col("kept").alias(kept))

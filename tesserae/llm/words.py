@@ -25,7 +25,7 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def runs_hash(x: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
-    """Polynomial hash of each x[first:last], whatever its place."""
+    """Polynomial hash of each x[first:last], whatever its place. x should hold no zero, which would not count at an end."""
     up, down = _powers(base, max(12, int(len(x)).bit_length()))
     total = np.zeros(len(x) + 1, dtype=np.uint64)
     np.cumsum(x.astype(np.uint64) * up[: len(x)], out=total[1:])
@@ -55,11 +55,18 @@ class Words:
         closes[inner - 1] = word[inner - 1]
         self.begin, self.end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
         self.of = np.searchsorted(self.begin, edge)
-        self.hash = mixed(runs_hash(data, self.begin, self.end, BYTE_BASE))
+        self.hash = mixed(runs_hash(data.astype(np.uint64) + np.uint64(1), self.begin, self.end, BYTE_BASE))
 
     def __len__(self) -> int:
         return len(self.begin)
 
+    def taken(self, at: np.ndarray) -> pa.Array:
+        """The bytes of the words at these positions."""
+        size = self.end[at] - self.begin[at]
+        edge = np.concatenate([[0], np.cumsum(size)])
+        place = np.repeat(self.begin[at] - edge[:-1], size) + np.arange(edge[-1])
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(edge.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(self.data[place]))])
+
 
 def words(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[Words]:
     """Words of a string column without nulls, in slices of rows with about `most` bytes."""

@@ -512,3 +512,60 @@ def test_substring(docs, rows, empty, monkeypatch, window, hot):
         want.append((i, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
     same([tuple(r) for r in substring.repeated_windows(docs, window=window).collect()], want)
     assert substring.repeated_windows(empty).count() == 0
+
+
+def test_substring_words_with_nul(spark):
+    """NUL is a letter of a word like any other, at its end too."""
+    plain, marked = " ".join(f"w{i}" for i in range(40)), " ".join(f"w{i}\0" for i in range(40))
+    docs = spark.createDataFrame([(0, plain), (1, marked), (2, f"x {marked} y")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substring.repeated_windows(docs).collect()} == {0: 0, 1: 40, 2: 40}
+
+
+@pytest.mark.parametrize(("window", "block"), [(35, 200), (4, 60), (7, 1_000_000)])
+def test_substring_blocks_of_any_size(spark, monkeypatch, window, block):
+    """Small blocks leave to the anchors what a task would settle; few words make matches of every length, and loops."""
+    monkeypatch.setattr(substring, "BLOCK_WORDS", block)
+    r = random.Random(window)
+    texts = [[r.choice("abc") for _ in range(r.randint(0, 60))] for _ in range(30)] + [["a"] * 300, ["b", "a"] * 90]
+    long = [f"w{i}" for i in range(400)]
+    texts += [[*long[:150], "x", *long[150:320]], [*long[40:], *long[:90]], long]
+    starts = Counter(tuple(w[i : i + window]) for w in texts for i in range(len(w) - window + 1))
+    want = {i: len({k for j in range(len(w) - window + 1) if starts[tuple(w[j : j + window])] > 1 for k in range(j, j + window)}) for i, w in enumerate(texts)}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(3)
+    assert {x["doc_id"]: x["n_removed"] for x in substring.repeated_windows(docs, window=window).collect()} == want
+
+
+@pytest.mark.parametrize(("window", "letters"), [(3, "ab"), (8, "ab"), (35, "a"), (5, "abcdef")])
+def test_factors(window, letters):
+    """Factors are the longest matches, as deep as the order goes, and cover every repeated window."""
+    r = random.Random(window)
+    passages = [[r.choice(letters) for _ in range(r.choice([0, 2, 9, 50, 120]))] for _ in range(12)]
+    passages.append(passages[3] + passages[7])
+    text = [ord(x) for p in passages for x in p]
+    edge = np.cumsum([0, *map(len, passages)])
+    places = [(k, i) for k, p in enumerate(passages) for i in range(len(p))]
+    most = 1 << window.bit_length()
+
+    def longest(k, i):
+        def shared(m, j):
+            n = 0
+            while n < most and i + n < len(passages[k]) and j + n < len(passages[m]) and passages[k][i + n] == passages[m][j + n]:
+                n += 1
+            return n
+
+        n = max((shared(m, j) for m, j in places if (m, j) != (k, i)), default=0)
+        return n if n >= window else 0
+
+    size = [longest(k, i) for k, i in places]
+    block = substring.Block(np.array(text), edge, window)
+    assert block.size.tolist() == size
+    want = []
+    for k, p in enumerate(passages):
+        i = 0
+        while i < len(p):
+            if n := size[edge[k] + i]:
+                want.append((k, i, n))
+            i += n - window + 1 if n else 1
+    assert list(zip(*(x.tolist() for x in block.factors()), strict=True)) == want
+    covered = {(k, i + x) for k, i, n in want for x in range(n)}
+    assert covered == {(k, i + x) for (k, i), n in zip(places, size, strict=True) if n for x in range(window)}
