@@ -496,6 +496,69 @@ def test_topk(spark, monkeypatch, scale, block):
     assert topk.top_k(df.where("vec_id IN (50, 51)"), F.col("vec_id") % 50 == 0).count() == 1
 
 
+def smooth(n, dims=64, seed=4):
+    """Whole-number vectors whose neighbouring components are alike, as segment statistics want them."""
+    r = np.random.default_rng(seed)
+    return np.floor(256 * np.cumsum(r.standard_normal((n, dims)), axis=1) * r.choice([0.1, 1, 3], (n, 1)))
+
+
+def test_topk_bounds_hold():
+    x = smooth(300)
+    q = x[:20]
+    score = q @ x.T
+    for s in topk.LEVELS:
+        (qm, qd), (xm, xd) = topk._segments(q, s), topk._segments(x, s)
+        assert (qm @ xm.T + qd @ xd.T >= score - 0.5).all()
+    low, high, dev, norm = (np.array([v]) for v in topk.envelope(x))
+    best = score.max(axis=1)
+    assert topk.reachable(q, best, low, high, dev, norm).all()
+    assert not topk.reachable(q, np.full(20, 1e12), low, high, dev, norm).any()
+
+
+@pytest.mark.parametrize("start", [False, True])
+def test_topk_every_level_drops_pairs(start):
+    """Of smooth vectors each level drops pairs that the ones before it let pass; what stays is exact."""
+    x = smooth(6_000)
+    ids, q = np.arange(6_000), smooth(6_000)[::300] + np.round(np.random.default_rng(2).standard_normal((20, 64)) * 700)
+    q_id = np.arange(10_000, 10_020)
+    floor = topk.floors(q_id, q, ids[:512], x[:512], 5) if start else None
+    at, found, score, dropped = topk.best(q_id, q, ids, x, 5, floor)
+    whole = (q @ x.T).astype(np.int64)
+    for k in range(20):
+        want = np.lexsort((ids, -whole[k]))[:5]
+        assert found[at == k].tolist() == want.tolist() and score[at == k].tolist() == whole[k][want].tolist()
+    assert (dropped > 0).all() and dropped.sum() > 0.5 * whole.size
+
+
+def test_topk_ships_only_tiles_that_can_matter(spark, monkeypatch):
+    monkeypatch.setattr(topk, "LEAST_ROWS", 100)
+    x = smooth(3_000)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate((x / 256).tolist())], "vec_id long, embedding array<double>")
+    sent = []
+    real = topk.reachable
+    monkeypatch.setattr(topk, "materialize", lambda d, keep=topk.materialize: sent.append(keep(d)) or sent[-1])
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0).collect()
+    whole = (x @ x.T).astype(np.int64)
+    np.fill_diagonal(whole, -(2**60))
+    want = [(q, n + 1, int(i), int(whole[q, i])) for q in range(0, 3_000, 50) for n, i in enumerate(np.lexsort((np.arange(3_000), -whole[q]))[:5])]
+    same([tuple(r) for r in got], want)
+    tiles = next(d for d in sent if "x_block" in d.columns)
+    blocks = next(d for d in sent if d.columns == ["id", "v", "block"]).select("block").distinct().count()
+    assert real is topk.reachable and 20 < blocks and 0 < tiles.count() < 0.7 * 60 * blocks
+
+
+def test_topk_of_very_large_components(spark):
+    """Whole numbers of any size; a score that no long can hold is given as the end of the range."""
+    rows = [(0, [3e9, 1.0]), (1, [3e9, 2.0]), (2, [-3e38, 0.0]), (3, [3e38, 3e38]), (4, [1e-3, 5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    f = {i: [int(np.floor(256 * float(np.float32(c)))) for c in v] for i, v in rows}
+    want = []
+    for q in (0, 2, 4):
+        score = {i: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(f[q], v, strict=True)))) for i, v in f.items() if i != q}
+        want += [(q, n + 1, i, s) for n, (i, s) in enumerate(sorted(score.items(), key=lambda x: (-x[1], x[0])))]
+    same([tuple(r) for r in topk.top_k(df, F.col("vec_id") % 2 == 0).collect()], want)
+
+
 # --- 10 -----------------------------------------------------------------------------------------------------------
 
 
