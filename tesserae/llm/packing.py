@@ -42,15 +42,21 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(path)
 
 
-def split(text: str) -> list[str]:
+@cache
+def _special(path: str) -> re.Pattern:
+    """Tokens that stand for themselves in a text (`<|endoftext|>`), in any case: lower-casing could make or break one."""
+    found = sorted(t.content for t in _tokenizer(path).get_added_tokens_decoder().values())
+    return re.compile("|".join(map(re.escape, found)) or r"(?!)", re.I)
+
+
+def split(text: str, special: re.Pattern) -> list[str]:
     """Parts of a text whose ids make up the text's. Usual texts are lower-cased and lose their closing commas and full
-    stops to parts of their own, so that there are fewer different ones; only ASCII white space separates."""
-    if UNUSUAL.search(text):
+    stops to parts of their own, so that there are fewer different ones; only ASCII white space separates. Texts with
+    unusual letters or special tokens are cut at white space alone."""
+    if UNUSUAL.search(text) or special.search(text):
         return [w.decode() for w in text.encode().split()] if OTHER_SPACE.search(text) else text.split()
     text = text.lower()
     if not JOINED_MARK.search(text):
@@ -65,7 +71,7 @@ class Encoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers; what it remembers is bounded."""
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        self.tokenizer, self.words, self.most = _tokenizer(path), {}, most
+        self.tokenizer, self.special, self.words, self.most = _tokenizer(path), _special(path), {}, most
 
     def _encode(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -82,11 +88,12 @@ class Encoder:
         return [ids[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
 
     def learn(self, words: set[str]) -> None:
-        """Adds words. One that is letters and a closing comma or full stop is its letters' ids and the mark's."""
+        """Adds words. One of usual letters and a closing comma or full stop is its letters' ids and the mark's; some other
+        letters end in a sign when lower-cased, which would join the mark."""
         known = self.words
-        marked = {w for w in words if w[-1] in ".," and w[:-1].isalpha()}
+        marked = {w for w in words if w[-1] in ".," and w[:-1].isalpha() and not UNUSUAL.search(w)}
         stem = {w: (w[:-1].lower() if w.isascii() else w[:-1]) for w in marked}
-        plain = {w: w.lower() if w.isascii() else w for w in words - marked}
+        plain = {w: w.lower() if w.isascii() and not self.special.search(w) else w for w in words - marked}
         new = ({*stem.values(), *plain.values(), ".", ","}).difference(known)
         letters = [p for p in new if p.isalpha()]
         for i in range(0, len(letters), 1_000):
@@ -100,7 +107,7 @@ class Encoder:
         for i in range(0, len(texts), 256):
             if len(self.words) > self.most:
                 self.words.clear()
-            parts = [split(x) for x in texts[i : i + 256]]
+            parts = [split(x, self.special) for x in texts[i : i + 256]]
             self.learn(set().union(*parts).difference(self.words))
             get = self.words.__getitem__
             for words in parts:

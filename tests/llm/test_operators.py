@@ -440,7 +440,6 @@ def test_line_dedup_edges(docs, empty):
 
 def test_packing(docs, rows, empty):
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     want = []
     for i, text, _, _ in rows:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 1]
@@ -462,6 +461,26 @@ def test_packing(docs, rows, empty):
     assert packing.pack(empty, TOKENIZER).count() == 0
 
 
+def test_packing_ids_are_the_tokenizer_s():
+    """Random texts of letters, marks and special tokens that do not go the usual way."""
+    t, encode, r = Tokenizer.from_file(TOKENIZER), packing.Encoder(TOKENIZER), random.Random(9)
+    parts = ["İ", "İ.", "BELEDİYESİ,", "ı", "ŉ.", "ǅ,", "ß", "ẞ.", "e\u0301", "\u0301", "\u0307,", "Å", "\u212b.", "ﬁ,", "Σ", "ΑΣ.", "ας,", "ſt.", "K,", "<|endoftext|>", "<|ENDOFTEXT|>", "x<|startoftext|>,", "<|", "|>.", "don't", "'S,", "'ll", "O'Re", "5.", "1,000.", "½.", "²,", "_.", "a_,", "..", ",.", "...", "—,", "\u200b.", "\u00ad,", "\U0001f600.", "中文。", "日,", "가,", "ế.", "Ǆ", "a", "B.", "cd,", "Straße.", "\x00.", "\x1c", "\x85", "\xa0", "\u3000"]
+    texts = ["".join(r.choice(parts) + r.choice(["", " ", " ", "\n", "\t", "\r\n", ","]) for _ in range(r.randint(0, 9))) for _ in range(50_000)]
+    texts += ["İSTANBUL BELEDİYESİ. tamam", "Bir SİTESİ, iki", "", " ", "plain text. Of words, usual."]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast(texts, add_special_tokens=False)]
+    wrong = [x for x, a, b in zip(texts, encode(texts), want, strict=True) if a != b]
+    assert not wrong, wrong[:5]
+
+
+def test_packing_capacities_bind(docs):
+    """Lower bounds on documents and attention cost hold, each alone, and cost sequences."""
+    filled = lambda **kw: packing.pack(docs, TOKENIZER, **kw).groupBy("sequence_id").agg(F.count("*").alias("n"), F.sum("length").alias("t"), F.sum(F.col("length") ** 2).alias("a")).collect()
+    free = filled()
+    few, cheap = filled(documents=7), filled(attention=1e6)
+    assert max(r["n"] for r in free) > 7 and max(r["n"] for r in few) == 7 and len(few) > len(free)
+    assert all(r["n"] == 1 or r["a"] <= 1e6 for r in cheap) and max(r["a"] for r in free if r["n"] > 1) > 1e6 and len(cheap) > len(free)
+
+
 def test_best_fit_holds_every_capacity():
     r = np.random.default_rng(0)
     length = r.integers(1, 900, 400).astype(float)
