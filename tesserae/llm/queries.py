@@ -39,7 +39,7 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select("row.doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_table(spark, sf_dir, "documents"), columns=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,7 +91,7 @@ targets AS (
 plan AS (SELECT *, CASE WHEN s > 0 THEN floor(target / s) ELSE 0 END::BIGINT AS epochs FROM targets),
 summed AS (
   SELECT d.*, p.s, p.target, p.epochs, p.target - p.epochs * p.s AS rest,
-         sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS upto
+         sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)::BIGINT AS upto
   FROM (SELECT *, k AS k2 FROM docs) d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
 ends AS (
   SELECT source, CASE WHEN min(abs(upto - rest)) < any_value(rest) THEN arg_min(upto, (abs(upto - rest), upto)) ELSE 0 END AS last

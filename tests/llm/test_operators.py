@@ -329,8 +329,9 @@ def test_exact_dedup_is_native(docs):
 # --- 6 ------------------------------------------------------------------------------------------------------------
 
 
-def test_mixing(docs, rows, empty):
-    mixed = mixing.mix(docs).select("row.doc_id", "row.source", "row.text", "size", "source_size", "target", "taken", "copies").collect()
+@pytest.mark.parametrize(("most", "buckets"), [(mixing.SORTED_ROWS, mixing.BUCKETS), (2, 3)])
+def test_mixing(docs, rows, empty, most, buckets):
+    mixed = mixing.mix(docs, sorted_rows=most, buckets=buckets).select("row.doc_id", "row.source", "row.text", "size", "source_size", "target", "taken", "copies").collect()
     size = Counter()
     for _, t, _, s in rows:
         size[s] += len(WORD.findall(t or ""))
@@ -361,6 +362,19 @@ def test_mixing(docs, rows, empty):
     assert out.columns == docs.columns and out.count() == sum(r["copies"] for r in mixed)
 
 
+@pytest.mark.parametrize("most", [mixing.SORTED_ROWS, 5])
+def test_mixing_of_equal_rows(spark, most):
+    """900 equal rows: so many are taken as the target asks for, not all or none; rows without an id and without words too."""
+    r = random.Random(6)
+    texts = [(7, "one two three four five", "a")] * 900 + [(1000 + i, " ".join(["w"] * r.randint(1, 9)), "ab"[i % 2]) for i in range(98)] + [(None, "x y", "b")] * 50 + [(None, "x y z", "b")] * 9 + [(None, "", "a")] * 40
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string").repartition(4)
+    mixed = [mixing.mix(d, weights=(1, 1), columns=["doc_id", "source"], sorted_rows=most, buckets=4).select("row.*", "size", "source_size", "target", "copies", "taken").collect() for d in (docs, docs.repartition(3))]
+    for s in "ab":
+        own = [x for x in mixed[0] if x["source"] == s]
+        assert abs(sum(x["taken"] for x in own) - own[0]["target"]) <= 5 and all(x["copies"] <= 2 for x in own)
+    same(*[[(x["doc_id"], x["size"], x["taken"]) for x in m] for m in mixed])
+
+
 # --- 7 ------------------------------------------------------------------------------------------------------------
 
 
