@@ -16,20 +16,33 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 100_000
 
 
+#: Spark's setting by which a query's shuffle files go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def scratch(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; one of our own only where none is set."""
+    """The folder that the driver and all executors share. Where none is set, one of our own on a single machine; a
+    cluster must set one, for its executors would not see each other's files."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "/tmp/checkpoints"
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write df to the shared folder and read it again: lineage ends there, and a lost executor costs no rework."""
+    """Write df to the shared folder and read it again: lineage ends there, a lost executor costs no rework, and the shuffle
+    files that led to it are removed."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -35,14 +35,14 @@ def _sorted(rows: DataFrame, keys: list[str], keep: str) -> DataFrame:
 
 def _keyed(docs: DataFrame, text: Column, id: str, hot_rows: int) -> tuple[DataFrame, bool]:
     base = docs.select(F.struct("*").alias("row"), F.col(id).alias("id"), text.alias("text")).withColumns(
-        {"hash": F.xxhash64("text"), "prefix": F.substring("text", 1, PREFIX), "weight": F.lit(1).cast("long")}
+        {"hash": F.xxhash64("text"), "prefix": F.substring("text", 1, PREFIX), "weight": F.lit(1).cast("long"), "place": F.monotonically_increasing_id()}
     )
     hot = materialize(base.groupBy("hash").agg(F.count("*").alias("copies")).where(F.col("copies") > hot_rows))
     if hot.isEmpty():
-        return base.withColumn("salt", F.lit(-1).cast("long")), False
+        return base.drop("place").withColumn("salt", F.lit(-1).cast("long")), False
     runs = F.ceil(F.col("copies") / hot_rows)
-    salt = F.when(F.col("copies").isNull(), F.lit(-1).cast("long")).otherwise(F.pmod(F.xxhash64("id"), runs))
-    return base.join(small(hot), "hash", "left").withColumn("salt", salt).drop("copies"), True
+    salt = F.when(F.col("copies").isNull(), F.lit(-1).cast("long")).otherwise(F.pmod(F.col("place"), runs))  # by row, so that repeated ids share no run
+    return base.join(small(hot), "hash", "left").withColumn("salt", salt).drop("copies", "place"), True
 
 
 def survivors(docs: DataFrame, text: str = "text", id: str = "doc_id", keep: str = "min", hot_rows: int = HOT_ROWS) -> DataFrame:
