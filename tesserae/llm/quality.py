@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import materialize, slices, small
 
 ORDER = 6
-BLOCK_BYTES = 12_000_000
-LEAST_BLOCKS = 8
+#: Bytes of text in a block, on average; the larger, the fewer n-grams are asked for by several blocks.
+BLOCK_BYTES = 32_000_000
+LEAST_BLOCKS = 2
+#: Rows of one id that may go to one block.
+HOT_ROWS = 1_000
 QUANTILE = 0.995
 #: One trusted document in so many is left out of training and sets the threshold.
 HELD_OUT = 5
@@ -202,6 +205,21 @@ def answers(asked: DataFrame, levels: list[tuple[DataFrame, DataFrame]]) -> Data
     return p.select("lang", "gram", F.log("p").alias("logp"))
 
 
+def _dealt(rows: DataFrame, trusted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows with their block (lang, slice), and trusted ids (lang, slice, id) of each block. A block is drawn by id; the rows
+    of an id that very many share (null, or repeated rows) are dealt over several blocks, each of which is told the id."""
+    sizes = rows.groupBy("lang").agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("slices"))
+    sizes = small(materialize(sizes))
+    hot = materialize(rows.groupBy("id").count().where(F.col("count") > HOT_ROWS).select("id", F.ceil(F.col("count") / HOT_ROWS).alias("parts")))
+    some = not hot.isEmpty()
+    split = lambda df: df.alias("d").join(small(hot).alias("h"), F.col("d.id").eqNullSafe(F.col("h.id")), "left").select("d.*", F.coalesce("parts", F.lit(1)).alias("parts")) if some else df.withColumn("parts", F.lit(1).cast("long"))
+    slice_of = F.pmod(F.xxhash64("id", "part"), F.col("slices"))
+    placed = split(rows.withColumn("place", F.monotonically_increasing_id())).withColumn("part", F.pmod(F.col("place"), F.col("parts")))
+    placed = placed.join(sizes, "lang").withColumn("slice", slice_of).drop("place", "part", "parts", "slices")
+    known = split(rows.select("lang", "id").join(trusted, "id", "left_semi").distinct()).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    return placed, known.join(sizes, "lang").select("lang", slice_of.alias("slice"), "id").distinct()
+
+
 def classify(docs: DataFrame, trusted: DataFrame, text: str = "text", id: str = "doc_id", lang: str = "lang", order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
     """One row per row of docs: id, lang, perplexity (per byte), threshold (of its language), kept.
 
@@ -212,10 +230,8 @@ def classify(docs: DataFrame, trusted: DataFrame, text: str = "text", id: str =
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
     trusted = trusted.toDF("id").where("id IS NOT NULL").distinct()
-    sizes = rows.groupBy("lang").agg(F.greatest(F.lit(LEAST_BLOCKS), F.ceil(F.sum(F.octet_length("text")) / BLOCK_BYTES)).alias("slices"))
-    held = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0
-    placed = rows.join(small(materialize(sizes)), "lang").withColumns({"slice": F.pmod(F.xxhash64("id", "text"), F.col("slices")), "held": held})
-    known = placed.select("lang", "slice", "id").join(trusted, "id", "left_semi").select("lang", "slice", "id").distinct()
+    placed, known = _dealt(rows, trusted)
+    placed = placed.withColumn("held", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(HELD_OUT)) == 0)
     kind = rows.schema["id"].dataType.simpleString()
     block = ["lang", "slice"]
     packed = placed.select("lang", "slice", "id", "held", "text").mapInArrow(*_pack(kind))
