@@ -16,17 +16,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, text_or_empty
+from tesserae.llm.common import materialize, small, text_or_empty
 from tesserae.llm.components import components
 from tesserae.llm.simhash import groups, roots, starts
 from tesserae.llm.words import mixed, runs_hash
 
 MAX_EDITS = 2
-#: Shorter lines link to equal lines only: a few edits make any of them alike.
-LEAST_CHARS = 20
+#: Shorter lines link to equal lines only: they have no segments, and any two of them are within MAX_EDITS edits. More is a choice.
+LEAST_CHARS = MAX_EDITS + 1
 TILE = 500
 BASE = 0x9FB21C651E98DF25
 BLOCK_LINES = 200_000
@@ -122,11 +122,20 @@ def first_segment(short: str, long: str, edits: int) -> int:
     return edits + 1
 
 
+def line_hash(line: str) -> Column:
+    return F.xxhash64(line)
+
+
 def lines(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(id, twin, no, line): the non-empty lines of each distinct row of (id, text); twin tells texts of one id apart."""
+    """(id, twin, no, line, lid): the non-empty lines of each distinct row of (id, text); twin tells texts of one id apart,
+    lid tells lines apart. It is a 64-bit hash; lines that share it but differ in a second hash have that one instead."""
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("twin"), text_or_empty(text).alias("text"))
     flat = rows.select("id", "twin", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    return flat.where("line <> ''").withColumn("lid", F.xxhash64("line"))
+    flat = flat.where("line <> ''").withColumns({"lid": line_hash("line"), "check": F.xxhash64(F.lit(1), F.col("line"))})
+    met = materialize(flat.groupBy("lid").agg(F.min("check").alias("least"), F.max("check").alias("most")).where("least <> most").select(F.col("lid").alias("met")))
+    if not met.isEmpty():
+        flat = flat.join(small(met), F.col("lid") == F.col("met"), "left").withColumn("lid", F.when(F.col("met").isNull(), F.col("lid")).otherwise(F.col("check"))).drop("met")
+    return flat.drop("check")
 
 
 def _keys(edits: int):
@@ -260,7 +269,7 @@ def deduped(docs: DataFrame, text: str = "text", id: str = "doc_id", edits: int
 
     Of a class the occurrence with the smallest (id, line number) stays, a null id last. Empty lines are left alone, lines
     of under `least` characters link to equal lines only. Null and empty texts have no lines. Repeated rows of one id and
-    text share a result. Two different lines are taken as equal only if their XXH64 are. Extra columns are ignored; an
+    text share a result. Two different lines are taken as equal only if two XXH64 of theirs are. Extra columns are ignored; an
     empty table gives no rows.
     """
     found = lines(docs, text, id)
