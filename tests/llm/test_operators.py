@@ -6,6 +6,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache as cached
 
 import numpy as np
 import public_tokenizers
@@ -106,8 +107,8 @@ def kneser_ney(train, order):
     return p
 
 
-def test_quality(spark, docs, rows):
-    order = 3
+@pytest.mark.parametrize("order", [3, quality.ORDER])
+def test_quality(spark, docs, rows, order):
     trusted = spark.createDataFrame([(i,) for i in range(0, 90, 2)], "doc_id long")
     got = {(r["doc_id"], r["lang"]): r for r in quality.classify(docs, trusted, order=order).collect() if r["doc_id"] is not None}
     held = {r["doc_id"]: r["h"] for r in docs.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(quality.HELD_OUT)) == 0).alias("h")).collect()}
@@ -117,6 +118,7 @@ def test_quality(spark, docs, rows):
         if i is not None and i % 2 == 0 and not held[i]:
             train[k or "und"].append(lower(t))
     assert len(got) > 80
+    models = {k or "und": cached(kneser_ney(train[k or "und"], order)) for _, _, k, _ in rows}
     for i, t, k, _ in rows:
         if i is None:
             continue
@@ -125,10 +127,9 @@ def test_quality(spark, docs, rows):
         if not data:
             assert r["perplexity"] is None and not r["kept"]
             continue
-        p, padded = kneser_ney(train[k], order), bytes(order - 1) + data
-        logs = [np.log(p(padded[j : j + order])) for j in range(len(data))][:400]
-        if len(data) <= 400:
-            assert r["perplexity"] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-9)
+        p, padded = models[k], bytes(order - 1) + data
+        logs = [np.log(p(padded[j : j + order])) for j in range(len(data))]
+        assert r["perplexity"] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-9)
         assert r["kept"] == (r["threshold"] is None or r["perplexity"] <= r["threshold"])
 
 
@@ -145,6 +146,19 @@ def test_quality_default_order(spark):
         assert x["perplexity"] == pytest.approx(np.exp(-np.mean(logs)), rel=1e-9)
 
 
+def test_quality_deals_repeated_rows(spark, monkeypatch):
+    """Rows of one id go to several blocks and are scored alike; trusted ones train wherever they are."""
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 500)
+    texts = [(1, "the cat sat")] * 40 + [(None, "a dog ran")] * 30 + [(i, f"row {i} of many") for i in range(2, 30)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts], "doc_id long, text string, lang string").repartition(3)
+    trusted = docs.select("doc_id").where("doc_id % 2 = 1")
+    want = sorted((r["doc_id"] or 0, round(r["perplexity"], 9)) for r in quality.classify(docs, trusted, order=4).collect())
+    monkeypatch.setattr(quality, "HOT_ROWS", 5)
+    placed, known = quality._dealt(docs.select(F.col("doc_id").alias("id"), "text", "lang"), trusted.toDF("id"))
+    assert placed.where("id = 1").select("slice").distinct().count() > 1 and known.where("id = 1").count() > 1
+    assert sorted((r["doc_id"] or 0, round(r["perplexity"], 9)) for r in quality.classify(docs, trusted, order=4).collect()) == want
+
+
 def test_quality_without_rows(spark, empty, docs):
     assert quality.classify(empty, empty.select("doc_id")).count() == 0
     untrained = quality.classify(docs, empty.select("doc_id")).where("perplexity IS NOT NULL").select("perplexity").distinct().collect()
@@ -321,6 +335,17 @@ def test_exact_dedup(docs, rows, empty, hot, keep):
     assert exact_dedup.decisions(empty).count() == 0 and exact_dedup.survivors(empty).count() == 0
 
 
+def test_exact_dedup_of_repeated_rows(spark):
+    """Copies of one row, and rows without an id, fill no run: they are dealt by row."""
+    rows = [(1, "same")] * 500 + [(None, "same")] * 300 + [(2, "same"), (3, "other"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = exact_dedup.decisions(docs, keep="max", hot_rows=50).collect()
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got) == Counter({(1, 2, 801, False): 500, (None, 2, 801, False): 300, (2, 2, 801, True): 1, (3, 3, 1, True): 1, (None, None, 1, True): 1})
+    keyed = exact_dedup._keyed(docs, F.coalesce("text", F.lit("")), "doc_id", 50)[0]
+    assert keyed.where("salt >= 0").groupBy("salt").count().agg(F.max("count")).first()[0] < 150
+    assert sorted((r["doc_id"] or 0) for r in exact_dedup.survivors(docs, keep="max", hot_rows=50).collect()) == [0, 2, 3]
+
+
 def test_exact_dedup_is_native(docs):
     plan = exact_dedup.survivors(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
@@ -433,7 +458,7 @@ def test_line_dedup(spark, tile):
         own = [(k, x) for k, x in enumerate((t or "").split("\n")) if x]
         told = [(k, head[label[x]][0], head[label[x]][1], links[x]) for k, x in own if n[label[x]] > 1]
         want.append((i, len(own), sum((i, k) != head[label[x]][:2] for k, x in own), told))
-    got = [(r["doc_id"], r["n_lines"], r["n_removed"], [tuple(x) for x in r["lines"] or []]) for r in line_dedup.deduped(docs, tile=tile).collect()]
+    got = [(r["doc_id"], r["n_lines"], r["n_removed"], [tuple(x) for x in r["lines"] or []]) for r in line_dedup.deduped(docs, least=20, tile=tile).collect()]
     same(got, want)
 
 
@@ -444,6 +469,16 @@ def test_line_dedup_query_joins_short_lines(spark, tmp_path):
     assert got == {0: [(0, 1)], 1: [(0, 1)], 2: [(2, 1)], 3: [(2, 1)], 4: [(4, 1)], 5: [(4, 1)], 6: [], 7: [], 8: []}
 
 
+def test_line_dedup_tells_lines_of_one_hash_apart(spark, monkeypatch):
+    r = random.Random(4)
+    texts = ["".join(r.choice("abcdefgh") for _ in range(12)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate([*texts, *texts[:5]])), "doc_id long, text string")
+    want = sorted((x["doc_id"], x["n_removed"]) for x in line_dedup.deduped(docs).collect())
+    monkeypatch.setattr(line_dedup, "line_hash", lambda line: F.pmod(F.xxhash64(line), F.lit(4)))
+    assert sorted((x["doc_id"], x["n_removed"]) for x in line_dedup.deduped(docs).collect()) == want
+    assert [n for _, n in want] == [0] * 40 + [1] * 5
+
+
 def test_line_dedup_edges(docs, empty):
     assert line_dedup.deduped(empty).count() == 0
     assert line_dedup.deduped(docs).count() == docs.count()
