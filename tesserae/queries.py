@@ -76,14 +76,13 @@ def validate_summary(t):
 
 @query("SELECT lang, count(*) AS n FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL GROUP BY lang")
 def validate_required(t):
-    joined = _records(t("documents").select("doc_id", "lang").join(t("labels"), "doc_id", "left"), "doc_id", "lang", "quality")
-    bad = validate.validate(joined, {"required": ["quality"]}).where("NOT valid")
+    bad = validate.validate_table(t("documents").select("doc_id", "lang").join(t("labels"), "doc_id", "left"), {"required": ["quality"]}).where("NOT valid")
     return bad.groupBy("lang").agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')")
 def validate_enum(t):
-    bad = validate.validate(_records(t("orders"), "o_orderpriority"), {"properties": {"o_orderpriority": ORDER["properties"]["o_orderpriority"]}})
+    bad = validate.validate_table(t("orders"), {"properties": {"o_orderpriority": ORDER["properties"]["o_orderpriority"]}})
     return bad.where("NOT valid").select("o_orderkey", "o_orderpriority")
 
 
@@ -104,8 +103,8 @@ def validate_pattern(t):
 @query("SELECT count(*) AS n, count_if(quality IS NOT NULL AND toxic IS NULL)::BIGINT AS violations FROM documents LEFT JOIN labels USING (doc_id)")
 def validate_conditional_presence(t):
     rule = {"if": {"properties": {"quality": {}}, "required": ["quality"]}, "then": {"properties": {"toxic": {}}, "required": ["toxic"]}}
-    rows = _records(t("documents").select("doc_id").join(t("labels"), "doc_id", "left"), "quality", "toxic")
-    return validate.validate(rows, rule).agg(F.count("*").alias("n"), F.count_if(~F.col("valid")).alias("violations"))
+    rows = t("documents").select("doc_id").join(t("labels"), "doc_id", "left")
+    return validate.validate_table(rows, rule).agg(F.count("*").alias("n"), F.count_if(~F.col("valid")).alias("violations"))
 
 
 @query("""
@@ -117,14 +116,13 @@ def validate_conditional_required_set(t):
     """One violation per condition that a returned line misses."""
     then = {"properties": {"l_discount": {"maximum": 0.08}, "l_quantity": {"minimum": 3}, "l_linestatus": {"const": "F"}}}
     rule = {"if": {"properties": {"l_returnflag": {"const": "R"}}, "required": ["l_returnflag"]}, "then": then}
-    rows = _records(t("lineitem"), "l_returnflag", "l_discount", "l_quantity", "l_linestatus")
-    return validate.long_form(validate.validate(rows, rule)).groupBy("field").agg(F.count("*").alias("n"))
+    return validate.long_form(validate.validate_table(t("lineitem"), rule)).groupBy("field").agg(F.count("*").alias("n"))
 
 
 @query("SELECT p_partkey, p_retailprice FROM part WHERE p_brand = 'Brand#11' AND p_retailprice > 950")
 def validate_conditional_maximum(t):
     rule = {"if": {"properties": {"p_brand": {"const": "Brand#11"}}, "required": ["p_brand"]}, "then": {"properties": {"p_retailprice": {"maximum": 950}}}}
-    return validate.validate(_records(t("part"), "p_brand", "p_retailprice"), rule).where("NOT valid").select("p_partkey", "p_retailprice")
+    return validate.validate_table(t("part"), rule).where("NOT valid").select("p_partkey", "p_retailprice")
 
 
 @query("""
