@@ -166,7 +166,7 @@ def _of_dims(rows: DataFrame, asked: DataFrame, dims: int, n: int, nq: int, k: i
         """With the row's block: ranges of the order, written, so that a block's number is fixed."""
         ordered = df.mapInArrow(coarse, "id long, v array<double>, row long, signs double, size double")
         # ties of the order are cut by row, so that equal vectors fill no block
-        return materialize(ordered.repartitionByRange(blocks, "signs", "size", F.xxhash64("row")).withColumn("block", F.spark_partition_id().cast("long")).select("id", "v", "block"))
+        return materialize(ordered.repartitionByRange(blocks, "signs", "size", F.xxhash64("row")).withColumn("block", (F.spark_partition_id() % blocks).cast("long")).select("id", "v", "block"))
 
     candidates, queries = placed(rows, across), placed(asked, down)
 
