@@ -56,11 +56,18 @@ def shortened(c: Column, prefixes: dict[str, str], most: int = 200) -> Column:
     return out
 
 
+def _apart(c: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(c, "([a-z])([A-Z])", "$1 $2"), "([A-Z]+)([A-Z][a-z])", "$1 $2")
+
+
 def humanized(c: Column) -> Column:
-    """CamelCase as words, without a closing Template or Enum."""
-    bare = F.regexp_replace(c, "(Template|Enum)$", "")
-    apart = F.regexp_replace(F.regexp_replace(bare, "([a-z0-9])([A-Z])", "$1 $2"), "([A-Z]+)([A-Z][a-z])", "$1 $2")
-    return F.trim(F.replace(apart, F.lit("_"), F.lit(" ")))
+    """CamelCase as words, without a closing Template."""
+    return _apart(F.regexp_replace(c, "Template$", ""))
+
+
+def humanized_enum(c: Column) -> Column:
+    """CamelCase as words, without a closing Enum."""
+    return _apart(F.regexp_replace(c, "Enum$", ""))
 
 
 def is_true(c: Column) -> Column:
@@ -72,8 +79,8 @@ def data_type(template: Column, folder: Column) -> Column:
 
 
 def template_of(uri: Column) -> Column:
-    """First part between dots or dashes of an address that names a template."""
-    return F.element_at(F.filter(F.split(uri, "[.-]"), lambda x: x.contains("Template")), 1)
+    """First part between dots of an address that names a template; null if none does."""
+    return F.get(F.filter(F.split(uri, "[.]"), lambda x: x.contains("Template")), F.lit(0))
 
 
 def schema_id(id: Column) -> Column:

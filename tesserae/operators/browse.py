@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Fixed values of the table service whose limits are checked.
@@ -28,6 +29,19 @@ def contains(rows: DataFrame, query: str, *columns: str) -> DataFrame:
     return rows.where(hit if len(q) >= 2 else F.lit(False))
 
 
+def first_matches(rows: DataFrame, query: str, order: str, most: int, *columns: str) -> DataFrame:
+    """The first `most` matches in the index's own order, with their place (from 1); matches are not ranked."""
+    found = contains(rows, query, *columns).orderBy(order).limit(most)
+    return found.withColumn("place", F.row_number().over(W.orderBy(order)))  # `most` rows
+
+
+def sorted_by(rows: DataFrame, *columns: str, falling: bool = False, collation: str | None = None) -> DataFrame:
+    """A user's sort on any columns, rising or falling; texts by code point, or in a collation (UNICODE: as people read)."""
+    types = dict(rows.dtypes)
+    key = lambda c: F.collate(F.col(c), collation) if collation and types[c] == "string" else F.col(c)
+    return rows.orderBy(*[key(c).desc() if falling else key(c).asc() for c in columns])
+
+
 def facets(rows: DataFrame, search: Column | None = None, **chosen) -> DataFrame:
     """Rows that meet every chosen facet (a value or list); a search lifts them all."""
     if search is not None:

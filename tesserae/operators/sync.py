@@ -52,9 +52,11 @@ def latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").select(*columns)
 
 
-def upserted(base: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """base with the rows of changes replacing those of the same keys or added; missing columns become null. The changed
-    keys are a semi-join filter, so only rows of those keys are compared."""
+def upserted(base: DataFrame, changes: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """base with the rows of changes replacing those of the same keys or added; missing columns become null. order: of
+    several changes of one key the one with the greatest value in this column counts; without it each key should have one."""
+    if order:
+        changes = latest(changes, keys, F.desc_nulls_last(order))
     kept = base.join(changes.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(changes, allowMissingColumns=True)
 
