@@ -198,7 +198,7 @@ def one(spark, column, **values):
         (text.tokens, "A-b, c3!", ["a", "b", "c3"]),
         (text.split_packed, " a ;; b;", ["a", "b"]),
         (text.is_true, "1", True),
-        (text.template_of, "org.x-RnaTemplate-1", "RnaTemplate"),
+        (text.template_of, "org.x-1.RnaTemplate.1", "RnaTemplate"),
         (text.schema_id, "https://x/org.a-name-1.2.3", ("org.a", "name")),
         (lambda c: text.expand_curie(c, {"X": "http://x/"}), "X:a:b", "http://x/a:b"),
         (lambda c: text.expand_curie(c, {"X": "http://x/"}), "Y:a", "Y:a"),
