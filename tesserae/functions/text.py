@@ -112,6 +112,16 @@ def first_sentence(c: Column) -> Column:
     return F.substring_index(c, ".", 1)
 
 
+def term_address(c: Column) -> Column:
+    """Whether a text is the address of a vocabulary's term: http or https, and none of the sites below."""
+    # fixed values
+    skipped = ["creativecommons.org", "ror.org", "identifiers.org/RRID"]
+    out = c.startswith("http://") | c.startswith("https://")
+    for site in skipped:
+        out = out & ~c.contains(site)
+    return F.coalesce(out, F.lit(False))
+
+
 def unwrapped(c: Column, name: str = "string") -> Column:
     """x of name(x); null if it has another form."""
     found = F.regexp_extract(c, rf"^{name}\((.*)\)$", 1)

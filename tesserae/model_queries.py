@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import browse, lint, lookup, profile, sync, synonyms
+from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.queries import query
 from tesserae.sources import model
@@ -333,3 +333,46 @@ def validate_verdicts(t):
     orders = t("orders").withColumn("file", F.col("o_orderkey").cast("string"))
     expected = orders.select(F.lit("r").alias("registry"), "file", F.when(F.col("o_totalprice") > 100_000, "valid").otherwise("invalid").alias("expected"))
     return validate.verdicts(validate.validate_table(orders, {"properties": {"o_orderstatus": {"const": "F"}}}), expected).select("registry", "file", "expected", "actual", "agrees")
+
+
+# --- files, graphs, addresses --------------------------------------------------------------------------
+
+
+@query("""SELECT 'f' || n_regionkey AS file, 3 AS width, place::INT AS line FROM (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) + 1 AS place FROM nation) WHERE n_nationkey % 2 = 1""")
+def lint_csv_records(t):
+    """CSV records of another width than their header; quoted marks and line ends are no ends of fields and records."""
+    n = F.col("n_nationkey")
+    record = F.concat(F.lit('"'), F.col("n_name"), F.lit(', ""x""\n"'), F.lit(","), n.cast("string"), F.when(n % 2 == 1, ",odd").otherwise(""), F.lit("\n"))
+    ordered = F.array_sort(F.collect_list(F.struct(n.alias("k"), record.alias("record"))))
+    files = t("nation").groupBy("n_regionkey").agg(F.concat(F.lit("name,key\n"), F.array_join(F.transform(ordered, lambda x: x["record"]), "")).alias("text"))
+    return browse.csv_findings(files.select(_named("f", F.col("n_regionkey")).alias("file"), "text")).select("file", "width", "line")
+
+
+@query("SELECT (SELECT count(*) FROM nation) AS before, (SELECT count(*) FROM nation WHERE n_nationkey % 3 > 0) + (SELECT count(*) FROM region) AS after, (SELECT count(*) FROM region) - (SELECT count(*) FROM nation WHERE n_nationkey % 3 = 0) AS change")
+def graph_count_change(t):
+    """Numbers of distinct facts of two graphs; repeated facts count once."""
+    facts = graph.triples(t("nation"), F.col("n_name"), {"in": F.col("n_regionkey")})
+    others = graph.triples(t("region"), F.col("r_name"), {"key": F.col("r_regionkey")})
+    kept = graph.triples(t("nation").where("n_nationkey % 3 > 0"), F.col("n_name"), {"in": F.col("n_regionkey")})
+    return graph.count_change(facts.unionByName(facts), kept.unionByName(others))
+
+
+@query("""SELECT 'p' || n_nationkey AS field, CASE WHEN n_nationkey % 4 = 0 THEN ['E' || n_regionkey] ELSE ['E' || n_regionkey, 'E' || ((n_regionkey + 1) % 5)] END AS enums, false AS open FROM nation WHERE n_nationkey % 4 IN (0, 3)""")
+def profile_model_fields(t):
+    """Vocabularies of a model's slots."""
+    return profile.model_fields(_model(t), lambda r: r.startswith("E"))
+
+
+@query("SELECT page_id, page_id % 3 = 1 AS valid FROM pages")
+def text_term_address(t):
+    """Addresses of terms: http or https, some sites left out; null is none."""
+    id = F.col("page_id").cast("string")
+    return t("pages").select("page_id", text.term_address(F.when(F.col("page_id") % 3 == 1, F.concat(F.lit("https://x.org/"), id)).when(F.col("page_id") % 3 == 2, F.concat(F.lit("https://ror.org/"), id))).alias("valid"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'INTEGER' WHEN 1 THEN 'STRING(80)' WHEN 2 THEN 'BOOLEAN_LIST(20)' WHEN 3 THEN 'DOUBLE' WHEN 4 THEN 'STRING(80)' ELSE 'STRING_LIST(80x20)' END AS column_type FROM part")
+def model_column_types(t):
+    """Types of table columns from lists of types, branches and vocabularies."""
+    cases = ['{"type": ["null", "integer"]}', '{"oneOf": [{"type": "integer"}, {"enum": ["a"]}]}', '{"oneOf": [{"type": "null"}, {"type": "array", "items": {"type": "boolean"}}]}', '{"oneOf": [{"type": ["number", "null"]}, {"type": "null"}]}', '{"oneOf": [{"type": "integer"}, {"type": "boolean"}]}', '{"type": "array", "items": {"type": "integer", "enum": [1]}}']
+    schema = F.element_at(F.array(*[F.lit(c) for c in cases]), (F.col("p_partkey") % 6 + 1).cast("int"))
+    return t("part").select("p_partkey", compile.column_type(schema).alias("column_type"))

@@ -71,9 +71,11 @@ def largest(rows: DataFrame, group: str, most: int = 5) -> DataFrame:
 
 
 def lengths(rows: DataFrame, *columns: str, limit: int = 80) -> DataFrame:
-    """(column, longest, over): longest text of each column and how many are over the limit."""
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.length(c).alias("n")) for c in columns]))
-    return rows.select(each.alias("x")).select("x.*").groupBy("column").agg(F.max("n").alias("longest"), F.count_if(F.col("n") > limit).alias("over"))
+    """(column, longest, over): longest text of each column and how many are over the limit; of lists, their elements."""
+    types = dict(rows.dtypes)
+    sizes = lambda c: F.transform(c, lambda x: F.length(x)) if types[c].startswith("array") else F.array(F.length(c))
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), sizes(c).alias("sizes")) for c in columns]))
+    return rows.select(each.alias("x")).select("x.column", F.explode_outer("x.sizes").alias("n")).groupBy("column").agg(F.max("n").alias("longest"), F.count_if(F.col("n") > limit).alias("over"))
 
 
 def row_budget(counts: DataFrame) -> DataFrame:
@@ -86,3 +88,14 @@ def row_budget(counts: DataFrame) -> DataFrame:
 def odd_widths(lines: DataFrame, header_width: int, column: str = "value", mark: str = ",") -> DataFrame:
     """Lines with another number of fields than the header."""
     return lines.withColumn("width", F.size(F.split(column, mark))).where(F.col("width") != header_width)
+
+
+def csv_findings(files: DataFrame, mark: str = ",") -> DataFrame:
+    """files (file, text) -> (file, line, width, header): CSV records with another number of fields than their file's first,
+    numbered from 1. Marks and line ends inside quotes belong to their field; an empty line has one field."""
+    record = r'((?:[^"\r\n]++|"[^"]*+"?+)*+)(\r?\n|\r|$)'
+    found = F.regexp_extract_all("text", F.lit(record), F.lit(1))
+    records = F.when(F.get(found, F.size(found) - 1) == "", F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0)))).otherwise(found)
+    widths = F.transform(records, lambda r: F.size(F.split(F.regexp_replace(r, '"[^"]*"', ""), F.lit(rf"\Q{mark}\E"))))
+    each = files.select("file", widths.alias("w")).select("file", F.get("w", F.lit(0)).alias("header"), F.posexplode("w").alias("pos", "width"))
+    return each.where(F.col("width") != F.col("header")).select("file", (F.col("pos") + 1).alias("line"), "width", "header")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.plans.compile import closure
+from tesserae.plans.compile import closure, needs_checkpoints
 
 
 def triples(rows: DataFrame, subject: Column, facts: dict[str, Column], kinds: dict[str, str] | None = None) -> DataFrame:
@@ -81,18 +81,29 @@ def signatures(graph: DataFrame, *predicates: str) -> DataFrame:
     return rows.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "p", "o"))), "|").alias("signature"))
 
 
-def canonical(graph: DataFrame, depth: int = 3) -> DataFrame:
-    """The graph with blank nodes named by what they say, nested ones first."""
+def canonical(graph: DataFrame) -> DataFrame:
+    """The graph with blank nodes named by what they say, nested ones first, however deep; one round a level. Blank nodes that lead
+    back to themselves have no innermost one and keep their names."""
+    needs_checkpoints(graph.sparkSession)
     named = graph
-    for _ in range(depth):
+    while True:
         inner = named.where("s_kind = 'bnode'").join(named.where("o_kind = 'bnode' AND s_kind = 'bnode'").select("s").distinct(), "s", "left_anti")
-        names = inner.groupBy("s").agg(F.concat(F.lit("_:"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "p", "o"))), "|"), 256)).alias("name"))
+        names = inner.groupBy("s").agg(F.concat(F.lit("_:"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "p", "o"))), "|"), 256)).alias("name")).checkpoint()
+        if names.isEmpty():
+            break
         done = lambda kind, c: F.when(F.col("name").isNotNull(), "named").otherwise(F.col(kind))
         named = named.join(names, "s", "left").withColumn("s_kind", done("s_kind", "s")).withColumn("s", F.coalesce("name", "s")).drop("name")
-        named = named.join(names.withColumnRenamed("s", "o"), "o", "left").withColumn("o_kind", done("o_kind", "o")).withColumn("o", F.coalesce("name", "o")).drop("name")
+        named = named.join(names.withColumnRenamed("s", "o"), "o", "left").withColumn("o_kind", done("o_kind", "o")).withColumn("o", F.coalesce("name", "o")).drop("name").checkpoint()
     return named.select("s", "p", "o", "s_kind", "o_kind").distinct()
 
 
+def count_change(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row (before, after, change): distinct facts of two graphs, and by how many they differ."""
+    facts = lambda g, side: g.select("s", "p", "o").distinct().select(F.lit(side).alias("side"))
+    n = lambda side: F.count_if(F.col("side") == side)
+    return facts(before, "before").union(facts(after, "after")).agg(n("before").alias("before"), n("after").alias("after"), (n("after") - n("before")).alias("change"))
+
+
 def kinds(graph: DataFrame, priority: dict[str, Column]) -> DataFrame:
     """(kind, n): subjects counted under the first kind whose test any of their facts meets."""
     names = list(priority)

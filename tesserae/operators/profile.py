@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tesserae.sources import model
+
 LEAST_COUNT = 2
 LEAST_DISTINCT = 5
 
@@ -32,6 +36,14 @@ def allowed_values(fields: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return fields.join(names, "enum").select("field", "value").distinct()
 
 
+def model_fields(items: DataFrame, vocabulary: Callable[[Column], Column] = lambda r: r.endswith("Enum")) -> DataFrame:
+    """(field, enums, open) of the slots of a model that take a vocabulary: its names in order, the plain range before the branches,
+    and whether any text is taken, too."""
+    ranges = F.array_compact(F.array_prepend(F.coalesce(F.transform("def.any_of", lambda x: x["range"]), F.array().cast("array<string>")), F.col("def.range")))
+    of = model.slots(items).select(F.col("slot").alias("field"), ranges.alias("ranges"))
+    return of.select("field", F.filter("ranges", vocabulary).alias("enums"), F.array_contains("ranges", "string").alias("open")).where(F.size("enums") > 0)
+
+
 def open_vocabulary(ranges: DataFrame) -> DataFrame:
     """ranges (field, ranges array) -> fields that take a vocabulary or any text."""
     return ranges.where(F.array_contains("ranges", "string") & F.exists("ranges", lambda x: x.endswith("Enum"))).select("field")

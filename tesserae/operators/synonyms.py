@@ -55,9 +55,9 @@ def fallback(first: Column, second: Column) -> Column:
 
 def rewrites(rules: DataFrame) -> DataFrame:
     """rules (kind, terms) -> (phrase, replacement). EQUIVALENT: each term stands for all; REPLACE: the first for the
-    others only; KEEP: the first for itself and the others."""
+    others only; KEEP: the first for itself and the others. EXPLICIT, of rule lists that do not tell the two apart, is REPLACE."""
     equal = rules.where("kind = 'EQUIVALENT'").select(F.explode("terms").alias("phrase"), "terms").select("phrase", F.explode("terms").alias("replacement"))
-    directed = rules.where("kind IN ('REPLACE', 'KEEP')").select(F.col("terms")[0].alias("phrase"), F.explode(F.when(F.col("kind") == "KEEP", F.col("terms")).otherwise(F.filter("terms", lambda t, i: i > 0))).alias("replacement"))
+    directed = rules.where("kind IN ('REPLACE', 'KEEP', 'EXPLICIT')").select(F.col("terms")[0].alias("phrase"), F.explode(F.when(F.col("kind") == "KEEP", F.col("terms")).otherwise(F.filter("terms", lambda t, i: i > 0))).alias("replacement"))
     return equal.union(directed).distinct()
 
 

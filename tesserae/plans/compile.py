@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,6 +15,14 @@ SCALARS = {"string": "string", "integer": "integer", "float": "number", "double"
 LEVELS = 50
 
 
+def needs_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder that the session names; one of our own is set only on a single machine."""
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
+
+
 def closure(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
     """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0. Climbs `levels` at a time
     until a round finds no pair at its last level; depths are least ones, so a cycle ends too. LIMIT ALL lifts the bound on
@@ -26,8 +34,7 @@ def closure(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
       SELECT up.name, e.parent, up.depth + 1 FROM up JOIN {edges} e ON up.ancestor = e.name WHERE e.parent IS NOT NULL AND up.depth < {most})
     SELECT name, ancestor, min(depth) AS depth FROM (SELECT * FROM up LIMIT ALL) GROUP BY name, ancestor"""
     edges, most = edges.select("name", "parent"), levels
-    if not edges.sparkSession.conf.get("spark.checkpoint.dir", None):
-        edges.sparkSession.sparkContext.setCheckpointDir("/tmp/checkpoints")
+    needs_checkpoints(edges.sparkSession)
     climb = lambda start, most: edges.sparkSession.sql(sql, edges=edges, start=start, most=most)
     found = climb(edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")), most).checkpoint()
     while not (last := found.where(F.col("depth") == most)).isEmpty():
@@ -62,28 +69,35 @@ def properties(items: DataFrame) -> DataFrame:
 
 
 def fields(items: DataFrame) -> DataFrame:
-    """(class, property, order, own, required, description, schema): schema is the property's JSON."""
+    """(class, property, order, own, required, schema): schema is the property's JSON. A vocabulary brings its name as title and
+    its description (an empty one too) to wherever it is inlined; as the only range of a single value its description takes
+    the place of the property's. Vocabularies joined to one give their first non-empty description, the property's own first."""
     of = properties(items)
     values = model.enum_values(items).groupBy("enum").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda x: x["label"]).alias("labels"))
+    told = items.where("kind = 'enum'").select(F.col("name").alias("range"), F.get_json_object("body", "$.description").alias("told"))
     several = F.size(F.coalesce("def.any_of", F.array().cast("array<struct<range:string>>"))) > 0
     ranges = F.when(several, F.transform("def.any_of", lambda x: x["range"])).otherwise(F.array(F.coalesce("def.range", F.lit("string"))))
-    branches = of.select("class", "property", F.posexplode(ranges).alias("pos", "range")).join(values, F.col("range") == F.col("enum"), "left")
+    branches = of.select("class", "property", F.posexplode(ranges).alias("pos", "range")).join(values, F.col("range") == F.col("enum"), "left").join(told, "range", "left")
     kind = F.create_map(*[F.lit(x) for pair in SCALARS.items() for x in pair])
-    branch = F.struct("pos", F.when(F.col("enum").isNotNull(), F.lit("string")).otherwise(F.coalesce(kind[F.col("range")], F.lit("string"))).alias("type"), F.col("labels").alias("enum"), F.when(F.col("range") == "date", F.lit("date")).alias("format"))
+    branch = F.struct("pos", F.when(F.col("enum").isNotNull(), F.lit("string")).otherwise(F.coalesce(kind[F.col("range")], F.lit("string"))).alias("type"), F.col("labels").alias("enum"), F.when(F.col("range") == "date", F.lit("date")).alias("format"), F.col("enum").alias("title"), F.when(F.col("enum").isNotNull(), F.coalesce("told", F.lit(""))).alias("description"))
     gathered = branches.groupBy("class", "property").agg(F.array_sort(F.collect_list(branch)).alias("branches"))
-    plain = lambda b: F.struct(b["type"].alias("type"), b["enum"].alias("enum"), b["format"].alias("format"))
+    plain = lambda b: F.struct(*[b[k].alias(k) for k in ("description", "type", "enum", "format", "title")])
     one = F.size("branches") == 1
     closed = F.forall("branches", lambda b: b["enum"].isNotNull())
     union = F.flatten(F.transform("branches", lambda b: b["enum"]))
     first = F.col("branches")[0]
     alike = F.size(F.array_distinct(F.transform("branches", lambda b: b["type"]))) == 1
+    shown = F.get(F.filter(F.transform("branches", lambda b: b["description"]), lambda x: x != ""), F.lit(0))  # the first that says anything
     anyof = F.when(~(one | closed), F.transform("branches", plain))
     scalar = F.struct(
         F.when(alike, first["type"]).alias("type"), F.when(one, first["enum"]).when(closed, union).alias("enum"), F.when(one, first["format"]).alias("format"), anyof.alias("anyOf"), F.col("def.pattern").alias("pattern"), F.col("def.minimum_value").alias("minimum"), F.col("def.maximum_value").alias("maximum")
     )
     many = F.coalesce("def.multivalued", F.lit(False))
+    listed = F.struct(F.when(one, first["description"]).when(closed, shown).alias("description"), F.when(one, first["title"]).alias("title"), *[scalar[k].alias(k) for k in ("type", "enum", "format", "anyOf", "pattern", "minimum", "maximum")])
+    own = F.col("def.description")
+    description = F.when(many, own).when(one & closed, first["description"]).when(closed, F.coalesce(own, shown)).otherwise(own)
     whole = F.struct(
-        F.col("def.description").alias("description"), F.col("property").alias("title"), F.when(many, F.lit("array")).otherwise(scalar["type"]).alias("type"), F.when(many, scalar).alias("items"), *[F.when(~many, scalar[k]).alias(k) for k in ("enum", "format", "anyOf", "pattern", "minimum", "maximum")]
+        description.alias("description"), F.col("property").alias("title"), F.when(many, F.lit("array")).otherwise(scalar["type"]).alias("type"), F.when(many, listed).alias("items"), *[F.when(~many, scalar[k]).alias(k) for k in ("enum", "format", "anyOf", "pattern", "minimum", "maximum")]
     )
     joined = of.join(gathered, ["class", "property"])
     return joined.select("class", "property", "order", "own", F.coalesce("def.required", F.lit(False)).alias("required"), F.to_json(whole).alias("schema"))
@@ -147,12 +161,24 @@ def template_table(items: DataFrame) -> DataFrame:
 
 
 def columns(fields: DataFrame) -> DataFrame:
-    """Table columns of a compiled class: (class, property, column_type). Vocabulary and text 80 wide, lists of up to 20."""
-    kind = F.get_json_object("schema", "$.type")
-    item = F.get_json_object("schema", "$.items.type")
-    scalar = F.when(kind == "number", "DOUBLE").when(kind == "integer", "INTEGER").when(kind == "boolean", "BOOLEAN").otherwise("STRING(80)")
-    listed = F.when(item == "integer", "INTEGER_LIST(20)").when(item == "boolean", "BOOLEAN_LIST(20)").otherwise("STRING_LIST(80x20)")
-    return fields.select("class", "property", F.when(kind == "array", listed).otherwise(scalar).alias("column_type"))
+    """Table columns of a compiled class: (class, property, column_type)."""
+    return fields.select("class", "property", column_type(F.col("schema")).alias("column_type"))
+
+
+def column_type(schema: Column) -> Column:
+    """The table column of a property schema: vocabulary and text 80 wide, lists of up to 20. Of a list of types the first that is
+    not null counts; of a oneOf its only branch that is not null; text where neither tells."""
+    known = lambda raw: F.when(raw.startswith("["), F.get(F.filter(F.from_json(raw, "array<string>"), lambda x: x != "null"), F.lit(0))).otherwise(raw)
+    at = lambda path: F.get_json_object(schema, path)
+    scalar = lambda kind: F.when(kind == "number", "DOUBLE").when(kind == "integer", "INTEGER").when(kind == "boolean", "BOOLEAN").otherwise("STRING(80)")
+    listed = lambda item, enum: F.when(enum.isNotNull(), "STRING_LIST(80x20)").when(item == "integer", "INTEGER_LIST(20)").when(item == "boolean", "BOOLEAN_LIST(20)").otherwise("STRING_LIST(80x20)")
+    either = lambda kind, item, enum: F.when(kind == "array", listed(item, enum)).otherwise(scalar(kind))
+    branches = F.from_json(at("$.oneOf"), "array<struct<type:string,enum:string,items:struct<type:string,enum:string>>>")
+    typed = F.filter(branches, lambda b: b["type"].isNotNull() & (b["type"] != "null"))
+    only = F.get(typed, F.lit(0))
+    of_branches = F.when(F.exists(branches, lambda b: b["enum"].isNotNull()) | (F.size(typed) != 1), "STRING(80)").otherwise(either(known(only["type"]), known(only["items"]["type"]), only["items"]["enum"]))
+    whole = either(known(at("$.type")), known(at("$.items.type")), at("$.items.enum"))
+    return F.when(at("$.enum").isNotNull(), "STRING(80)").when(at("$.type").isNull() & branches.isNotNull(), of_branches).otherwise(whole)
 
 
 def nearest(chain: DataFrame, settings: DataFrame, key: str = "name") -> DataFrame:

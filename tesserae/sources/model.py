@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 ITEM = "kind string, name string, key string, ord int, body string, file string"
 SLOT = "title string, description string, range string, any_of array<struct<range:string>>, multivalued boolean, required boolean, minimum_value double, maximum_value double, pattern string, ifabsent string"
@@ -96,16 +98,25 @@ def read_modules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merged(items: DataFrame) -> DataFrame:
-    """One row per (kind, name, key, and ord of rules): bodies of later files win key by key."""
+    """One row per (kind, name, key, and ord of rules): bodies of later files win key by key, at every depth; lists are replaced."""
     by = ["kind", "name", "key", F.when(F.col("kind") == "rule", F.concat_ws("#", "file", "ord")).alias("rule")]
     body = F.struct("file", "ord", "body")
     rows = items.groupBy(*by).agg(F.array_sort(F.collect_list(body)).alias("all"), F.max(body).alias("last"))
-    maps = F.transform("all", lambda x: F.from_json(x["body"], "map<string,string>"))
-    joined = F.to_json(F.aggregate(maps, F.create_map().cast("map<string,string>"), lambda a, b: F.map_concat(F.map_filter(a, lambda k, _: ~F.map_contains_key(b, k)), b)))
-    whole = F.when((F.size("all") == 1) | ~F.col("kind").isin("class", "enum", "slot"), F.col("last.body")).otherwise(joined)
+    several = F.when((F.size("all") > 1) & ~F.col("kind").isin("rule", "error"), F.transform("all", lambda x: x["body"]))
+    whole = F.coalesce(_laid_over(several), F.col("last.body"))
     return rows.select("kind", "name", "key", F.col("last.ord").alias("ord"), whole.alias("body"), F.col("last.file").alias("file"))
 
 
+def _over(held, new):
+    """new on top of held: mappings key by key, anything else replaced."""
+    return held | {k: _over(held.get(k), v) for k, v in new.items()} if isinstance(held, dict) and isinstance(new, dict) else new
+
+
+@F.pandas_udf(StringType())
+def _laid_over(bodies: pd.Series) -> pd.Series:
+    return bodies.map(lambda all: None if all is None else json.dumps(reduce(_over, map(json.loads, all))))
+
+
 def collisions(declarations: DataFrame) -> DataFrame:
     """Names that several files declare: (kind, name, files)."""
     of = declarations.where(F.col("kind").isin("class", "slot", "enum")).groupBy("kind", "name").agg(F.array_sort(F.collect_set("file")).alias("files"))
@@ -174,6 +185,23 @@ def read_terms(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("place", place).withColumn("rank", F.row_number().over(last)).where("rank = 1").drop("place", "rank")
 
 
+def read_concept_maps(spark: SparkSession, path: str) -> DataFrame:
+    """Concept maps (YAML: `mapping`, a list of source and target): (file, ord, source, target, comment)."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.yaml").text(path, wholetext=True)
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for file, value in zip(batch["file"], batch["value"], strict=True):
+                for i, m in enumerate((yaml.safe_load(value) or {}).get("mapping") or []):
+                    target = m.get("target")
+                    target = target if isinstance(target, dict) else {"label": target}
+                    rows.append((file, i, *[None if x is None else str(x) for x in (m.get("source"), target.get("label"), target.get("comment"))]))
+            yield pd.DataFrame(rows, columns=["file", "ord", "source", "target", "comment"])
+
+    return files.select("value", F.col("_metadata.file_path").alias("file")).mapInPandas(parse, "file string, ord int, source string, target string, comment string")
+
+
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
     """Template registry of a form: (display_name, schema_name, type)."""
     raw = spark.read.json(path, multiLine=True, schema="manifest_schemas array<struct<display_name:string,schema_name:string,type:string>>")

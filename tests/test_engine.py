@@ -46,9 +46,11 @@ def test_compiled_schema(schemas):
     assert list(assay["properties"]) == ["reads", "kit", "age", "ageUnit", "diagnosis", "sex", "tags"]
     assert assay["required"] == ["reads", "sex"]
     assert assay["properties"]["reads"] == {"title": "reads", "type": "integer", "minimum": 1.0}
-    assert assay["properties"]["age"]["anyOf"] == [{"type": "number"}, {"type": "string", "enum": [">= 90", "Unknown"]}]
+    assert assay["properties"]["age"]["anyOf"] == [{"type": "number"}, {"description": "", "title": "Mask", "type": "string", "enum": [">= 90", "Unknown"]}]
+    assert assay["properties"]["sex"] == {"description": "", "title": "sex", "type": "string", "enum": ["Female", "Male"]}  # the vocabulary's
+    assert assay["properties"]["ageUnit"]["description"] == "Units of age"
     assert assay["properties"]["diagnosis"] == {"title": "diagnosis", "type": "string"}  # a refinement drops any_of
-    assert assay["properties"]["tags"]["items"] == {"type": "string", "enum": ["Female", "Male", "days", "years", "hours"]}
+    assert assay["properties"]["tags"]["items"] == {"description": "Units of age", "type": "string", "enum": ["Female", "Male", "days", "years", "hours"]}
     assert [len(r["then"].get("required", [])) for r in assay["allOf"]] == [1, 1, 0]
     assert "if" in schemas["Plain"] and "allOf" not in schemas["Plain"]
     assert "Filename" not in assay["properties"]
@@ -173,6 +175,33 @@ def test_no_rule_is_dropped(spark):
     assert synonyms.rewrites(rules).count() == 1_200
 
 
+def test_merge_reaches_leaves(spark):
+    rows = [("slot", "s", None, 0, '{"a": {"x": 1, "y": {"z": [1]}}, "b": null}', "1"), ("slot", "s", None, 0, '{"a": {"y": {"z": [2], "w": 3}}, "b": {}}', "2"), ("value", "E", "l", 0, '{"m": 1}', "1"), ("value", "E", "l", 1, '{"n": 2}', "2")]
+    got = {r["name"]: json.loads(r["body"]) for r in model.merged(spark.createDataFrame(rows, model.ITEM)).collect()}
+    assert got == {"s": {"a": {"x": 1, "y": {"z": [2], "w": 3}}, "b": {}}, "E": {"m": 1, "n": 2}}
+
+
+def test_csv_findings(spark):
+    files = [("a", 'x,y\r\n"1,\n""2",3\r\n\r\n4,5,"6"'), ("b", "x\n1,2\n"), ("c", ""), ("d", None)]
+    got = sorted(map(tuple, browse.csv_findings(spark.createDataFrame(files, "file string, text string")).collect()))
+    assert got == [("a", 3, 1, 2), ("a", 4, 3, 2), ("b", 2, 2, 1)]
+
+
+def test_lengths_of_lists(spark):
+    rows = spark.createDataFrame([("abc", ["a", "abcd"]), (None, None)], "s string, l array<string>")
+    assert {tuple(r) for r in browse.lengths(rows, "s", "l", limit=2).collect()} == {("s", 3, 1), ("l", 4, 1)}
+
+
+def test_deep_blank_nodes(spark):
+    """A chain of seven blank nodes under fresh names is the same graph; two that name each other stay as they are."""
+    schema = "s string, p string, o string, s_kind string, o_kind string"
+    chain = lambda x: spark.createDataFrame([("a", "p", f"_:{x}0", "iri", "bnode"), *[(f"_:{x}{i}", "p", f"_:{x}{i + 1}", "bnode", "bnode") for i in range(6)], (f"_:{x}6", "p", "end", "bnode", "literal")], schema)
+    facts = lambda g: {tuple(r) for r in graph.canonical(g).collect()}
+    assert facts(chain("u")) == facts(chain("v"))
+    loop = spark.createDataFrame([("_:a", "p", "_:b", "bnode", "bnode"), ("_:b", "p", "_:a", "bnode", "bnode")], schema)
+    assert facts(loop) == {tuple(r) for r in loop.collect()}
+
+
 def one(spark, column, **values):
     df = spark.createDataFrame([tuple(values.values())], ", ".join(f"{k} {'array<string>' if isinstance(v, list) else 'string'}" for k, v in values.items()))
     return df.select(column.alias("x")).first()["x"]
@@ -219,8 +248,8 @@ def test_synonyms(spark):
     assert [r["synonyms"] for r in synonyms.filter_synonyms(df).orderBy("term").collect()] == [["bb"], []]
     assert one(spark, synonyms.cleaned_aliases(F.col("a"), F.lit("x y")), a=["X-Y", "z"]) == ["z"]
     assert one(spark, synonyms.merged_aliases(F.col("a"), F.array(F.lit("z"), F.lit("q"))), a=["z", "y"]) == ["z", "y", "q"]
-    rules = spark.createDataFrame([("EQUIVALENT", ["a", "b"]), ("REPLACE", ["c", "d"]), ("KEEP", ["e", "f g"])], "kind string, terms array<string>")
-    assert [synonyms.expanded(q, rules) for q in "abcdez"] == [["a", "b"], ["a", "b"], ["d"], ["d"], ["e", "f g"], ["z"]]
+    rules = spark.createDataFrame([("EQUIVALENT", ["a", "b"]), ("REPLACE", ["c", "d"]), ("KEEP", ["e", "f g"]), ("EXPLICIT", ["h", "i"])], "kind string, terms array<string>")
+    assert [synonyms.expanded(q, rules) for q in "abcdezh"] == [["a", "b"], ["a", "b"], ["d"], ["d"], ["e", "f g"], ["z"], ["i"]]
     docs = spark.createDataFrame([(1, "x F, G"), (2, "fg"), (3, "E")], "i int, t string")
     assert {r["i"] for r in synonyms.search(docs, "t", "e", rules).collect()} == {1, 3}
 
@@ -265,6 +294,9 @@ def test_readers(spark, tmp_path):
     (tmp_path / "t.csv").write_text('Term,URLs,Synonyms\na,u,"x; y"\nb,u,\na,w,z\n')
     terms = {r["Term"]: r["URLs"] for r in model.read_terms(spark, f"{tmp_path}/t.csv").collect()}
     assert terms == {"a": "w", "b": "u"}
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m" / "m.yaml").write_text("title: t\nmapping:\n- source: A\n  target: {label: b, comment: c}\n- {source: B, target: d}\n- {source: C}\n")
+    assert [tuple(r)[1:] for r in model.read_concept_maps(spark, f"{tmp_path}/m").orderBy("ord").collect()] == [(0, "A", "b", "c"), (1, "B", "d", None), (2, "C", None, None)]
     (tmp_path / "f.json").write_text('{"manifest_schemas": [{"display_name": "A", "schema_name": "a", "type": "record"}]}')
     assert model.read_templates(spark, f"{tmp_path}/f.json").first()["schema_name"] == "a"
 
