@@ -68,13 +68,16 @@ def properties(items: DataFrame) -> DataFrame:
     return joined.select(F.col("name").alias("class"), "property", folded.alias("def"), "order", "own")
 
 
-def fields(items: DataFrame) -> DataFrame:
+def fields(items: DataFrame, shared_titles: bool = False) -> DataFrame:
     """(class, property, order, own, required, schema): schema is the property's JSON. A vocabulary brings its name as title and
     its description (an empty one too) to wherever it is inlined; as the only range of a single value its description takes
-    the place of the property's. Vocabularies joined to one give their first non-empty description, the property's own first."""
+    the place of the property's. Vocabularies joined to one give their first non-empty description, the property's own first.
+    Titles are property names; with shared_titles, single values of one vocabulary all have the last of their names, as in
+    schemas that were published so.
+    """
     of = properties(items)
     values = model.enum_values(items).groupBy("enum").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "label"))), lambda x: x["label"]).alias("labels"))
-    told = items.where("kind = 'enum'").select(F.col("name").alias("range"), F.get_json_object("body", "$.description").alias("told"))
+    told = items.where("kind = 'enum'").select(F.col("name").alias("range"), F.regexp_replace(F.get_json_object("body", "$.description"), r"\s+$", "").alias("told"))
     several = F.size(F.coalesce("def.any_of", F.array().cast("array<struct<range:string>>"))) > 0
     ranges = F.when(several, F.transform("def.any_of", lambda x: x["range"])).otherwise(F.array(F.coalesce("def.range", F.lit("string"))))
     branches = of.select("class", "property", F.posexplode(ranges).alias("pos", "range")).join(values, F.col("range") == F.col("enum"), "left").join(told, "range", "left")
@@ -95,9 +98,11 @@ def fields(items: DataFrame) -> DataFrame:
     many = F.coalesce("def.multivalued", F.lit(False))
     listed = F.struct(F.when(one, first["description"]).when(closed, shown).alias("description"), F.when(one, first["title"]).alias("title"), *[scalar[k].alias(k) for k in ("type", "enum", "format", "anyOf", "pattern", "minimum", "maximum")])
     own = F.col("def.description")
+    alone = F.when(one & closed & ~many, first["title"])
+    title = F.when(alone.isNotNull(), F.max("property").over(W.partitionBy("class", alone))).otherwise(F.col("property")) if shared_titles else F.col("property")
     description = F.when(many, own).when(one & closed, first["description"]).when(closed, F.coalesce(own, shown)).otherwise(own)
     whole = F.struct(
-        description.alias("description"), F.col("property").alias("title"), F.when(many, F.lit("array")).otherwise(scalar["type"]).alias("type"), F.when(many, listed).alias("items"), *[F.when(~many, scalar[k]).alias(k) for k in ("enum", "format", "anyOf", "pattern", "minimum", "maximum")]
+        description.alias("description"), title.alias("title"), F.when(many, F.lit("array")).otherwise(scalar["type"]).alias("type"), F.when(many, listed).alias("items"), *[F.when(~many, scalar[k]).alias(k) for k in ("enum", "format", "anyOf", "pattern", "minimum", "maximum")]
     )
     joined = of.join(gathered, ["class", "property"])
     return joined.select("class", "property", "order", "own", F.coalesce("def.required", F.lit(False)).alias("required"), F.to_json(whole).alias("schema"))
@@ -110,17 +115,17 @@ def rules(items: DataFrame) -> DataFrame:
     return chain.join(of, "ancestor").groupBy(F.col("name").alias("class")).agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "ord", "body"))), lambda x: x["body"]).alias("rules"))
 
 
-def schemas(items: DataFrame, prefix: str = "", version: str | None = None) -> DataFrame:
-    """(class, json): one JSON Schema per class. An abstract class accepts any object."""
+def schemas(items: DataFrame, prefix: str = "", version: str | None = None, shared_titles: bool = False) -> DataFrame:
+    """(class, json): one JSON Schema per class. An abstract class accepts any object and has no description."""
     quoted = lambda c: F.regexp_extract(F.to_json(F.array(c)), r"(?s)^\[(.*)\]$", 1)  # noqa: E731  a text as JSON
     own = F.when(F.col("own").isNotNull(), 0).otherwise(1)
     place = F.struct(own.alias("a"), F.when(own == 0, F.col("own")).alias("b"), F.col("property").alias("c"))
     entry = F.struct(place.alias("place"), F.concat(quoted(F.col("property")), F.lit(":"), F.col("schema")).alias("text"))
-    by_class = fields(items).groupBy("class").agg(
+    by_class = fields(items, shared_titles).groupBy("class").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["text"]), ",").alias("properties"),
         F.transform(F.array_sort(F.collect_list(F.when(F.col("required"), F.struct("order", "property")))), lambda x: x["property"]).alias("required"),
     )
-    of = model.classes(items).select(F.col("name").alias("class"), "description", "abstract")
+    of = model.classes(items).select(F.col("name").alias("class"), F.regexp_replace("description", r"\s+$", "").alias("description"), "abstract")
     joined = of.join(by_class, "class", "left").join(rules(items), "class", "left")
     id = F.concat(F.lit(prefix), F.lower("class"), F.lit(f"-{version}" if version else ""))
     count = F.when(F.col("abstract"), 0).otherwise(F.coalesce(F.size("rules"), F.lit(0)))
@@ -128,7 +133,7 @@ def schemas(items: DataFrame, prefix: str = "", version: str | None = None) -> D
         F.concat(F.lit('"$id":'), quoted(id)),
         F.lit('"$schema":"http://json-schema.org/draft-07/schema#"'),
         F.when(count > 1, F.concat(F.lit('"allOf":['), F.array_join("rules", ","), F.lit("]"))),
-        F.when(F.col("description").isNotNull(), F.concat(F.lit('"description":'), quoted(F.col("description")))),
+        F.when(F.col("description").isNotNull() & ~F.col("abstract"), F.concat(F.lit('"description":'), quoted(F.col("description")))),
         F.when(count == 1, F.expr("substr(rules[0], 2, length(rules[0]) - 2)")),
         F.when(~F.col("abstract"), F.concat(F.lit('"properties":{'), F.coalesce("properties", F.lit("")), F.lit("}"))),
         F.when(F.size("required") > 0, F.concat(F.lit('"required":'), F.to_json("required"))),

@@ -181,6 +181,19 @@ def test_merge_reaches_leaves(spark):
     assert got == {"s": {"a": {"x": 1, "y": {"z": [2], "w": 3}}, "b": {}}, "E": {"m": 1, "n": 2}}
 
 
+def test_titles(spark):
+    rows = [("class", "C", None, 0, '{"description": "d"}', "f"), ("class", "A", None, 1, '{"abstract": true, "description": "d"}', "f"), ("enum", "E", None, 0, '{"description": "e\\n"}', "f"), ("value", "E", "v", 0, "{}", "f")]
+    for i, (slot, body) in enumerate({"x": '{"range": "E", "description": "own"}', "y": '{"range": "E"}', "z": '{"range": "E", "multivalued": true}'}.items()):
+        rows += [("class_slot", "C", slot, i, "{}", "f"), ("slot", slot, None, i, body, "f")]
+    items = spark.createDataFrame(rows, model.ITEM)
+    shown = lambda **o: {r["class"]: json.loads(r["json"]) for r in compile.schemas(items, **o).collect()}
+    plain, shared = shown(), shown(shared_titles=True)
+    assert {k: p["title"] for k, p in plain["C"]["properties"].items()} == {"x": "x", "y": "y", "z": "z"}
+    assert {k: p["title"] for k, p in shared["C"]["properties"].items()} == {"x": "y", "y": "y", "z": "z"}
+    assert plain["C"]["properties"]["x"]["description"] == "e" and plain["C"]["properties"]["z"]["items"] == {"description": "e", "title": "E", "type": "string", "enum": ["v"]}
+    assert plain["C"]["description"] == "d" and "description" not in plain["A"]
+
+
 def test_csv_findings(spark):
     files = [("a", 'x,y\r\n"1,\n""2",3\r\n\r\n4,5,"6"'), ("b", "x\n1,2\n"), ("c", ""), ("d", None)]
     got = sorted(map(tuple, browse.csv_findings(spark.createDataFrame(files, "file string, text string")).collect()))
