@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, langid, line_dedup, mixing, packing, pii, quality, simhash, substring, topk
+from tesserae.llm import exact_dedup, filter_audit, langid, line_dedup, mixing, packing, pii, quality, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -58,8 +58,13 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_windows(_table(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return found.where("part IS NOT NULL").drop("filter")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring, op12_filter_audit)}
 
 
 OP5 = """
@@ -125,5 +130,38 @@ FROM docs LEFT JOIN lost USING (r)
 """
 
 
+OP12 = r"""
+WITH texts AS (
+  SELECT d.*, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again
+  FROM documents d),
+known AS (SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         MAP {'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w), 'C': 100 * len(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * len(t),
+          'D': regexp_matches(t, '[#$%&*|]'), 'E': again} AS f
+  FROM texts LEFT JOIN known USING (doc_id)),
+counted AS (SELECT part, good, toxic, f, count(*) AS n FROM docs GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x)
+  JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)),
+places AS (SELECT o, unnest(generate_series(1, 5)) AS s FROM orders),
+fails AS (  -- each kind of document at each place: whether it fails there, and whether it failed before
+  SELECT part, good, toxic, n, o, s, f[substr(o, s, 1)] AS here,
+         len(list_filter(range(1, s), lambda i: f[substr(o, i, 1)])) > 0 AS before,
+         len(list_filter(map_values(f), lambda x: x)) AS all_fails
+  FROM counted, places),
+figures AS (
+  SELECT part, o, s, sum(n) FILTER (NOT here AND NOT before) AS kept, sum(n) FILTER (here AND NOT before) AS removed, sum(n) FILTER (here AND before) AS redundant,
+         sum(n) FILTER (here AND all_fails = 1) AS unique_fails, sum(n) FILTER (here AND NOT before AND good) AS good_lost, sum(n) FILTER (here AND NOT before AND toxic) AS toxic_lost
+  FROM fails GROUP BY part, o, s)
+SELECT part, o AS filter_order, s::INT AS step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(unique_fails, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       sum(coalesce(removed, 0)) OVER (PARTITION BY part, substr(o, s, 1))::BIGINT AS shapley
+FROM figures
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op10_substring": OP10}
+    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op10_substring": OP10, "op12_filter_audit": OP12}
