@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, filter_audit, langid, line_dedup, mixing, packing, pii, quality, simhash, substring, topk
+from tesserae.llm import exact_dedup, filter_audit, langid, line_dedup, mixing, negatives, packing, pii, quality, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -58,13 +58,18 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated_windows(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     return found.where("part IS NOT NULL").drop("filter")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring, op12_filter_audit)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring, op11_hard_negatives, op12_filter_audit)}
 
 
 OP5 = """
@@ -130,6 +135,19 @@ FROM docs LEFT JOIN lost USING (r)
 """
 
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS alike, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) QUALIFY rank <= 5
+"""
+
 OP12 = r"""
 WITH texts AS (
   SELECT d.*, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
@@ -164,4 +182,4 @@ FROM figures
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op10_substring": OP10, "op12_filter_audit": OP12}
+    return {"op5_exact_dedup": OP5, "op6_mixing": OP6, "op9_topk": OP9, "op10_substring": OP10, "op11_hard_negatives": OP11, "op12_filter_audit": OP12}
