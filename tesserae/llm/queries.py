@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tesserae.llm import exact_dedup, filter_audit, langid, line_dedup, mixing, negatives, packing, pii, quality, simhash, substring, topk
+from tesserae.llm import exact_dedup, filter_audit, html_extract, langid, line_dedup, mixing, negatives, packing, pii, quality, simhash, substring, topk
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -68,8 +68,13 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where("part IS NOT NULL").drop("filter")
 
 
+def op13_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages, html_extract.learn(pages)).select("row.page_id", "row.url", "text", "n_chars")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring, op11_hard_negatives, op12_filter_audit)}
+    return {f.__name__: f for f in (op1_quality, op2_langid, op3_simhash, op4_pii, op5_exact_dedup, op6_mixing, op7_line_dedup, op8_packing, op9_topk, op10_substring, op11_hard_negatives, op12_filter_audit, op13_html_extract)}
 
 
 OP5 = """
