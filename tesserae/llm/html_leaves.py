@@ -23,6 +23,8 @@ TAG = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z)|/([a-zA-Z][^\s/>]*+
 ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 PATHS, WORDS = 1 << 13, 1 << 12
+#: Open elements beyond which further ones are read as if side by side, as browsers do, and innermost ones that make a path.
+DEPTH, ABOVE = 512, 48
 NUMBERS = 12
 
 
@@ -44,7 +46,7 @@ def _names(attributes: str) -> list[int]:
 
 def leaves(html: str) -> list[Leaf]:
     """The leaves of a page in order, each with its text (references decoded, runs of white space made one space, trimmed), the
-    tags above it, the buckets of its tag path, and how many of its characters stand in links."""
+    tags above it (the innermost ABOVE), the buckets of its tag path, and how many of its characters stand in links."""
     out: list[Leaf] = []
     stack: list[tuple[str, list[int]]] = []
     parts: list[str] = []
@@ -65,12 +67,13 @@ def leaves(html: str) -> list[Leaf]:
             return
         text = unescape(raw) if "&" in raw else raw
         if leaf is None and not text.isspace():
-            path = [b for _, own in stack for b in own]
-            blocks = [t for t, _ in stack if t not in INLINE]
+            near = stack[-ABOVE:]
+            path = [b for _, own in near for b in own]
+            blocks = [t for t, _ in near if t not in INLINE]
             path += [_bucket("leaf", blocks[-1] if blocks else ""), _bucket("path", "/".join(blocks))]
-            leaf = Leaf(tuple(t for t, _ in stack), path)
+            leaf = Leaf(tuple(t for t, _ in near), path)
         parts.append(text)
-        if leaf and any(t == "a" for t, _ in stack):
+        if leaf and any(t == "a" for t, _ in stack[-ABOVE:]):
             linked += len(text.strip())
 
     def pop(names: tuple[str, ...], beyond: tuple[str, ...]) -> None:
@@ -118,7 +121,7 @@ def leaves(html: str) -> list[Leaf]:
                 pop(*CLOSES[name])
             else:
                 pop(("p",), ("table", "button", "div", "article", "section", "main", "aside"))
-        if name not in VOID and not attributes.endswith("/"):
+        if name not in VOID and not attributes.endswith("/") and len(stack) < DEPTH:
             stack.append((name, [_bucket("tag", name), *_names(attributes)]))
     close()
     return out
