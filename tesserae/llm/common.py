@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Words of every contract here: runs of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,6 +61,11 @@ def texts_of(batch: pa.RecordBatch, text: str) -> pa.Array:
     return batch.column("row").field(text).fill_null("")
 
 
+def beside_row(packed: DataFrame, more: str) -> StructType:
+    """The schema of packed's column `row`, whatever the names inside it, with further columns (DDL)."""
+    return StructType([packed.schema["row"], *StructType.fromDDL(more)])
+
+
 def slices(lengths: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
     """Consecutive row ranges whose lengths sum to at most `most`; a longer row stands alone."""
     start, total = 0, 0

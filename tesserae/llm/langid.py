@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import slices, text_or_empty, texts_of
+from tesserae.llm.common import beside_row, slices, text_or_empty, texts_of
 
 PROFILE = 400
 UNKNOWN = "und"
@@ -132,7 +132,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64())], ["row", "lang_pred", "score", "margin"])
 
     packed = docs.select(F.struct("*").alias("row"))
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, lang_pred string, score double, margin double")
+    return packed.mapInArrow(run, beside_row(packed, "lang_pred string, score double, margin double"))
 
 
 def held_out(id: str = "doc_id") -> Column:

@@ -122,7 +122,7 @@ def mix(docs: DataFrame, text: str = "text", id: str = "doc_id", source: str = "
     out in one task over one row a source.
     """
     base = docs.select(
-        F.struct(*(columns or docs.columns)).alias("row"), F.col(source).alias("source"), F.col(id).alias("id"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), sample_key(id, quality_weight(text)).alias("key")
+        F.struct(*([f"`{c}`" for c in columns] if columns else ["*"])).alias("row"), F.col(source).alias("source"), F.col(id).alias("id"), F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), sample_key(id, quality_weight(text)).alias("key")
     )
     base = materialize(base.withColumn("place", F.monotonically_increasing_id()))
     plan = small(materialize(cuts(base.drop("row"), weights, share, epochs, sorted_rows, buckets)))

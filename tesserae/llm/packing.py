@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, texts_of
+from tesserae.llm.common import beside_row, materialize, texts_of
 
 CAPACITY = 4_096
 END_ID = 1
@@ -141,7 +141,7 @@ def pieces(docs: DataFrame, path: str, text: str = "text", capacity: int = CAPAC
                 yield pa.RecordBatch.from_arrays([part.column("row").take(pa.array(at)), pa.array(k, pa.int32()), *[pa.array(x, pa.int64()) for x in (start, length, crc)]], ["row", "piece", "start", "length", "ids_crc32"])
 
     packed = docs.select(F.struct("*").alias("row"))
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, piece int, start long, length long, ids_crc32 long")
+    return packed.mapInArrow(run, beside_row(packed, "piece int, start long, length long, ids_crc32 long"))
 
 
 def best_fit(demand: np.ndarray, capacity: np.ndarray, weight: np.ndarray) -> np.ndarray:

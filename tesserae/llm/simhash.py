@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, small, texts_of
+from tesserae.llm.common import beside_row, materialize, small, texts_of
 from tesserae.llm.components import components
 
 BITS = 64
@@ -56,7 +56,7 @@ def fingerprints(docs: DataFrame, text: str = "text", width: int = SHINGLE) -> D
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(values.view(np.int64))], ["row", "fp"])
 
     packed = docs.select(F.struct("*").alias("row"))
-    return packed.mapInArrow(run, f"row {packed.schema['row'].dataType.simpleString()}, fp long")
+    return packed.mapInArrow(run, beside_row(packed, "fp long"))
 
 
 # --- the plan: parts of bits and their thresholds -------------------------------------------------------------------

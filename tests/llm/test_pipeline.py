@@ -56,3 +56,17 @@ def test_run_takes_null_and_repeated_ids(spark, tmp_path):
     assert len({r["text"] for r in left}) == len(left) and any(r["doc_id"] is None for r in left)
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r["doc_id"] for r in got} <= {r["doc_id"] for r in left} and None in {r["doc_id"] for r in got}
+
+
+def test_stages_hand_on_columns_of_any_name(spark):
+    names = ["a b", "a.b", "a-b", "row", "id", "UPPER", "select", "x`y", "fp", "é"]
+    rows = [(i, t, k, s, *[f"{n}{i}" for n in names]) for i, t, k, s in corpus() if i is not None]
+    quoted = lambda n: "`" + n.replace("`", "``") + "`"
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{quoted(n)} string" for n in names))
+    before = {tuple(r) for r in docs.collect()}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        assert docs.columns == ["doc_id", "text", "lang", "source", *names]
+    left = docs.collect()
+    assert left and {tuple(r) for r in left} <= before
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() >= len(left)
