@@ -5,6 +5,10 @@ unchanged in the longer, at a place that its length and number bound. A line is
 the admitted substrings for every admitted length, both as 64-bit keys. Keys that two lines share make buckets; only lines
 of such buckets are read again, and pairs are verified with a banded bit-parallel edit distance (code points).
 
+Lines of max_edits characters or fewer have no such segments. Any two of them are linked, so they are counted, not
+compared. A longer line within max_edits of one holds at least one of its characters: a short line is filed under
+each character and its number, longer lines probe their characters, and a pair counts under the first one that is found.
+
 A block settles keys that repeat inside it and sends each key on once, so a segment of very many lines fills no task; large
 buckets are compared chunk by chunk. A pair counts under the first segment that finds it. Tasks emit one row per line
 (its links there, and an edge to a line that it links to, directly or not), never pairs.
@@ -25,8 +29,8 @@ from tesserae.llm.simhash import groups, roots, starts
 from tesserae.llm.words import mixed, runs_hash
 
 MAX_EDITS = 2
-#: Shorter lines link to equal lines only: they have no segments, and any two of them are within MAX_EDITS edits. More is a choice.
-LEAST_CHARS = MAX_EDITS + 1
+#: Shorter lines link to equal lines only; none is shorter than 1.
+LEAST_CHARS = 1
 TILE = 500
 BASE = 0x9FB21C651E98DF25
 BLOCK_LINES = 200_000
@@ -42,7 +46,16 @@ def segment(length: np.ndarray | int, i: int, edits: int) -> tuple:
 
 def probes(length: np.ndarray, edits: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(shorter by, segment, lines, place, size, whether it is the line's own segment) of all substrings that a line is
-    filed under or probes."""
+    filed under or probes. Lines of up to `edits` characters have their characters for segments."""
+    for n in range(1, edits + 1):
+        at = np.flatnonzero(length == n)
+        for i in range(n if len(at) else 0):
+            yield 0, i, at, np.full(len(at), i), np.ones(len(at), dtype=np.int64), np.ones(len(at), dtype=bool)
+        for long in range(edits + 1, n + edits + 1):
+            at = np.flatnonzero(length == long)
+            for i in range(n if len(at) else 0):
+                for place in range(long):
+                    yield long - n, i, at, np.full(len(at), place), np.ones(len(at), dtype=np.int64), np.zeros(len(at), dtype=bool)
     for less in range(edits + 1):
         for i in range(edits + 1):
             p, size = segment(length - less, i, edits)
@@ -111,7 +124,10 @@ def _small_distance(a: str, b: str, most: int) -> int:
 
 
 def first_segment(short: str, long: str, edits: int) -> int:
-    """Number of the first segment of `short` that stands in `long` at an admitted place; edits + 1 if none does."""
+    """Number of the first segment of `short` that stands in `long` at an admitted place; edits + 1 if none does. Of up to
+    `edits` characters: of the first one that `long` holds."""
+    if len(short) <= edits:
+        return next((i for i, c in enumerate(short) if c in long), edits + 1)
     less = len(long) - len(short)
     for i in range(edits + 1):
         p, size = (int(x) for x in segment(len(short), i, edits))
@@ -223,6 +239,7 @@ def _verified(edits: int):
                     near = np.abs(letters[a:b] - letters[x]).sum(axis=1) <= 2 * edits
                     near &= (length[a:b] > length[x]) | ((length[a:b] == length[x]) & (lid[a:b] > lid[x]))
                     near &= (length[a:b] - length[x] <= edits) & ((chunk[a:b] != chunk[x]) if cross else True)
+                    near &= length[a:b] > edits  # short ones among themselves are counted elsewhere
                     for y in (a + np.flatnonzero(near)).tolist():
                         if first_segment(text[x], text[y], edits) == seg[x] and edit_distance(text[x], text[y], edits) <= edits:
                             left.append(x - a)
@@ -255,10 +272,19 @@ def joined(distinct: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS
     return dealt.repartition("key", "tile").sortWithinPartitions("key", "tile").mapInArrow(*_verified(edits))
 
 
-def classes(occurrences: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS, tile: int = TILE) -> DataFrame:
-    """(lid, class, links) of the lines that have links to different lines."""
+def short(occurrences: DataFrame, edits: int, least: int) -> DataFrame:
+    """occurrences (lid, size) -> (lid, other, links) of the lines of least to `edits` characters: all are linked."""
+    some = materialize(occurrences.where(F.col("size").between(max(1, least), edits)).select("lid").distinct())
+    n, first = some.agg(F.count("*"), F.min("lid")).first()
+    return some.where(F.lit(n > 1)).select("lid", F.lit(first).cast("long").alias("other"), F.lit(n - 1).cast("long").alias("links"))
+
+
+def classes(occurrences: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS, tile: int = TILE, sizes: DataFrame | None = None) -> DataFrame:
+    """(lid, class, links) of the lines that have links to different lines. sizes: (lid, size) of the lines, if they are at
+    hand; only whether a size is over `edits` matters."""
     distinct = occurrences.groupBy("lid").agg(F.first("line").alias("line"))
-    found = materialize(joined(distinct, edits, least, tile))
+    few = short(occurrences.withColumn("size", F.length("line")) if sizes is None else sizes, edits, least)
+    found = materialize(joined(distinct, edits, least, tile).unionByName(few))
     links = found.groupBy("lid").agg(F.sum("links").alias("links"))
     return links.join(components(found.select("lid", "other")).toDF("lid", "class"), "lid")
 
@@ -268,13 +294,13 @@ def deduped(docs: DataFrame, text: str = "text", id: str = "doc_id", edits: int
     number in the text (from 0), the document and line that stay of its class, and its links to different lines.
 
     Of a class the occurrence with the smallest (id, line number) stays, a null id last. Empty lines are left alone, lines
-    of under `least` characters link to equal lines only. Null and empty texts have no lines. Repeated rows of one id and
+    of under `least` characters link to equal lines only (by default there are none). Null and empty texts have no lines. Repeated rows of one id and
     text share a result. Two different lines are taken as equal only if two XXH64 of theirs are. Extra columns are ignored; an
     empty table gives no rows.
     """
     found = lines(docs, text, id)
-    placed = materialize(found.select("id", "twin", "no", "lid").distinct())
-    linked = materialize(classes(found, edits, least, tile))
+    placed = materialize(found.select("id", "twin", "no", "lid", F.least(F.length("line"), F.lit(edits + 1)).alias("size")).distinct())
+    linked = materialize(classes(found, edits, least, tile, placed))
     known = placed.join(linked, "lid", "left").withColumns({"class": F.coalesce("class", "lid"), "links": F.coalesce("links", F.lit(0))})
     place = F.struct(F.col("id").isNull().alias("last"), "id", "no", "twin")
     heads = known.groupBy("class").agg(F.min(place).alias("head"), F.count("*").alias("n")).where("n > 1")

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 from functools import cache as cached
+from itertools import product
 
 import numpy as np
 import public_tokenizers
@@ -522,7 +523,25 @@ def test_line_dedup_query_joins_short_lines(spark, tmp_path):
     texts = ["Copyright 2019 Acme", "Copyright 2020 Acme", "the end", "then end", "abc", "abd", "xyzw", "12", "34"]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["doc_id"]: [(x["class_id"], x["links"]) for x in r["lines"] or []] for r in queries.op7_line_dedup(spark, str(tmp_path)).collect()}
-    assert got == {0: [(0, 1)], 1: [(0, 1)], 2: [(2, 1)], 3: [(2, 1)], 4: [(4, 1)], 5: [(4, 1)], 6: [], 7: [], 8: []}
+    assert got == {0: [(0, 1)], 1: [(0, 1)], 2: [(2, 1)], 3: [(2, 1)], 4: [(4, 1)], 5: [(4, 1)], 6: [], 7: [(7, 1)], 8: [(7, 1)]}
+
+
+@pytest.mark.parametrize("edits,tile", [(2, 500), (2, 7), (1, 500), (3, 500)])
+def test_line_dedup_is_exact_at_every_length(spark, edits, tile):
+    """All lines of 1 to 6 characters of two letters, those of 1 to 3 of another two, and a few of other letters, against brute force; each alone in
+    a document, so that every link count is seen."""
+    lines = ["".join(x) for n in range(1, 7) for x in product("ab", repeat=n)] + ["".join(x) for n in range(1, 4) for x in product("cé", repeat=n)]
+    lines += ["xy", "yx", "axby", "x12y", "zzzzz", "\U0001f600", "a\U0001f600", "12345678", "1234567"]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    near = lambda a, b: edit_distance(a, b) <= edits
+    label = components(lines, near)
+    links = {a: sum(a != b and near(a, b) for b in lines) for a in lines}
+    first = {}
+    for i, x in enumerate(lines):
+        first.setdefault(label[x], i)
+    want = {i: [(first[label[x]], links[x])] if links[x] else [] for i, x in enumerate(lines)}
+    got = {r["doc_id"]: [(x["class_id"], x["links"]) for x in r["lines"] or []] for r in line_dedup.deduped(docs, edits=edits, tile=tile).collect()}
+    assert got == want
 
 
 def test_line_dedup_tells_lines_of_one_hash_apart(spark, monkeypatch):
