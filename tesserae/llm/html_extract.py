@@ -206,9 +206,13 @@ def train(htmls: Sequence[str], layouts: int = LAYOUTS, seed: int = 0) -> Labell
 
 
 def learn(pages: DataFrame, html: str = "html", most: int = SAMPLE_PAGES, chars: int = SAMPLE_CHARS, layouts: int = LAYOUTS) -> Labeller:
-    """A labeller fitted on at most `most` pages that have at most chars / most characters each, drawn by a hash of their text."""
-    short = pages.select(F.col(html).alias("html")).where(F.length("html") <= chars // most)
-    return train([r["html"] for r in short.orderBy(F.xxhash64("html"), "html").limit(most).collect()], layouts)
+    """A labeller fitted on at most `most` different pages that have at most chars / most characters each, drawn by a hash of
+    their text. The first pass counts pages, so that the second one sends on little more than it draws."""
+    short = pages.select(F.col(html).alias("html")).where(F.length("html") <= chars // most).withColumn("hash", F.xxhash64("html"))
+    n = short.agg(F.approx_count_distinct("hash")).first()[0]
+    drawn = short.where(F.pmod("hash", F.lit(1 << 30)) < (1 << 30) * min(1.0, 3 * most / max(1, n)))
+    unlike = drawn.groupBy("hash").agg(F.min("html").alias("html"))  # copies of a page collapse where they are read
+    return train([r["html"] for r in unlike.orderBy("hash").limit(most).collect()], layouts)
 
 
 def extract(pages: DataFrame, labeller: Labeller, html: str = "html", least: float = 0.5) -> DataFrame:
