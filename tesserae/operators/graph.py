@@ -50,9 +50,11 @@ def not_exists(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def path_plus(graph: DataFrame, p: str) -> DataFrame:
-    """(s, o): o is reachable from s over one or more p."""
-    edges = pattern(graph, "?name", p, "?parent")
-    return closure(edges).where("depth > 0").select(F.col("name").alias("s"), F.col("ancestor").alias("o")).distinct()
+    """(s, o): o is reachable from s over one or more p; a node on a cycle reaches itself."""
+    edges = pattern(graph, "?name", p, "?parent").distinct()
+    pairs = closure(edges)
+    back = edges.select(F.col("parent").alias("name"), F.col("name").alias("ancestor")).join(pairs, ["name", "ancestor"], "left_semi").select(F.col("ancestor").alias("s"), F.col("ancestor").alias("o"))
+    return pairs.where("depth > 0").select(F.col("name").alias("s"), F.col("ancestor").alias("o")).union(back).distinct()
 
 
 def ask(bindings: DataFrame) -> DataFrame:

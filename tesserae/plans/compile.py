@@ -11,8 +11,6 @@ from tesserae.sources import model
 DROPPED = ("Filename", "Component")
 #: Types of the ranges that are no vocabularies.
 SCALARS = {"string": "string", "integer": "integer", "float": "number", "double": "number", "boolean": "boolean", "date": "string"}
-#: Levels that one recursion climbs; Spark ends a deeper one with an error.
-LEVELS = 50
 
 
 def needs_checkpoints(spark: SparkSession) -> None:
@@ -23,24 +21,25 @@ def needs_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir("/tmp/checkpoints")
 
 
-def closure(edges: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0. Climbs `levels` at a time
-    until a round finds no pair at its last level; depths are least ones, so a cycle ends too. LIMIT ALL lifts the bound on
-    rows that a recursion has otherwise."""
-    sql = """
-    WITH RECURSIVE up(name, ancestor, depth) AS (
-      SELECT name, ancestor, depth FROM {start}
-      UNION ALL
-      SELECT up.name, e.parent, up.depth + 1 FROM up JOIN {edges} e ON up.ancestor = e.name WHERE e.parent IS NOT NULL AND up.depth < {most})
-    SELECT name, ancestor, min(depth) AS depth FROM (SELECT * FROM up LIMIT ALL) GROUP BY name, ancestor"""
-    edges, most = edges.select("name", "parent"), levels
+def closure(edges: DataFrame) -> DataFrame:
+    """edges (name, parent) -> (name, ancestor, depth), each name its own ancestor at depth 0; depths are least ones.
+
+    Semi-naive rounds that double path lengths: once all pairs up to depth d are known, a pair at depth d + e (e from 1 to d)
+    is one at depth d joined with one at depth e. Only pairs that are not known yet are kept and written, so neither many
+    paths between two names nor cycles make work, and the deepest chain of n names takes log2(n) rounds.
+    """
     needs_checkpoints(edges.sparkSession)
-    climb = lambda start, most: edges.sparkSession.sql(sql, edges=edges, start=start, most=most)
-    found = climb(edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")), most).checkpoint()
-    while not (last := found.where(F.col("depth") == most)).isEmpty():
-        most += levels
-        found = found.union(climb(last, most)).groupBy("name", "ancestor").agg(F.min("depth").alias("depth")).checkpoint()
-    return found
+    edges = edges.select("name", "parent")
+    own = edges.select("name", F.col("name").alias("ancestor"), F.lit(0).alias("depth")).distinct()
+    steps = edges.where("parent IS NOT NULL AND name <> parent").select("name", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")).distinct()
+    first = known = steps.checkpoint()
+    new, reach = first, 1
+    while not (tips := new.where(F.col("depth") == reach)).isEmpty():
+        longer = tips.select("name", F.col("ancestor").alias("via")).join(known.select(F.col("name").alias("via"), "ancestor", "depth"), "via")
+        found = longer.where("name <> ancestor").groupBy("name", "ancestor").agg((F.min("depth") + reach).alias("depth"))
+        new = found.join(known.select("name", "ancestor"), ["name", "ancestor"], "left_anti").select("name", "ancestor", "depth").checkpoint()
+        known, reach = known.unionByName(new), 2 * reach
+    return own.unionByName(known)
 
 
 def _overlay(outer: Column, own: Column) -> Column:

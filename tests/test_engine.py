@@ -157,13 +157,26 @@ def test_model_graph(items):
 
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", None)], "name string, parent string")
-    assert {(r["name"], r["ancestor"]) for r in compile.closure(edges, 5).collect()} == {("a", "a"), ("a", "b"), ("b", "b"), ("b", "a"), ("c", "c")}
+    assert {(r["name"], r["ancestor"]) for r in compile.closure(edges).collect()} == {("a", "a"), ("a", "b"), ("b", "b"), ("b", "a"), ("c", "c")}
+
+
+def test_closure_counts_pairs_and_not_paths(spark):
+    """A ladder of 40 diamonds has 2^40 paths; a dense cycle has infinitely many."""
+    edges = [(f"a{i}", f"{side}{i}") for i in range(40) for side in "bc"] + [(f"{side}{i}", f"a{i + 1}") for i in range(40) for side in "bc"]
+    got = {(r["name"], r["ancestor"]): r["depth"] for r in compile.closure(spark.createDataFrame(edges, "name string, parent string")).collect()}
+    assert got["a0", "a40"] == 80 and got["b0", "c39"] == 78 and ("b0", "c0") not in got
+    assert len(got) == sum(2 * (40 - i) + 40 - i for i in range(40)) + 2 * sum(2 * (39 - i) + 40 - i for i in range(40)) + 120
+    dense = [(f"n{i}", f"n{(i + k) % 30}") for i in range(30) for k in (0, 1, 2, 3)]
+    found = spark.createDataFrame(dense, "name string, parent string")
+    assert {(r["name"], r["ancestor"]): r["depth"] for r in compile.closure(found).collect()} == {(f"n{i}", f"n{(i + d) % 30}"): -(-d // 3) for i in range(30) for d in range(30)}
+    triples = found.select(F.col("name").alias("s"), F.lit("p").alias("p"), F.col("parent").alias("o"))
+    assert graph.path_plus(triples, "p").count() == 900  # each node reaches itself, too
 
 
 def test_closure_is_whole(spark):
     """A chain of 20 steps, climbed 7 at a time, with a short cut from its end and a cycle at its top."""
     edges = [(f"n{i}", f"n{i + 1}") for i in range(20)] + [("n20", "n18"), ("n0", "n3")]
-    got = {(r["name"], r["ancestor"]): r["depth"] for r in compile.closure(spark.createDataFrame(edges, "name string, parent string"), 7).where("name IN ('n0', 'n19')").collect()}
+    got = {(r["name"], r["ancestor"]): r["depth"] for r in compile.closure(spark.createDataFrame(edges, "name string, parent string")).where("name IN ('n0', 'n19')").collect()}
     want = {("n0", f"n{i}"): i if i < 3 else i - 2 for i in range(21)} | {("n19", "n19"): 0, ("n19", "n20"): 1, ("n19", "n18"): 2}
     assert got == want
 
