@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import reduce
+from hashlib import sha256
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,8 +87,9 @@ def signatures(graph: DataFrame, *predicates: str) -> DataFrame:
 
 
 def canonical(graph: DataFrame) -> DataFrame:
-    """The graph with blank nodes named by what they say, nested ones first, however deep; one round a level. Blank nodes that lead
-    back to themselves have no innermost one and keep their names."""
+    """The graph with blank nodes named by what they say: nested ones first, however deep, one round a level; then those on
+    cycles, or before one, by their place in what hangs together (`_cyclic`). Graphs that differ in the names of blank nodes
+    alone become equal. Blank nodes that say the same are one, unless a cycle holds both."""
     needs_checkpoints(graph.sparkSession)
     named = graph
     while True:
@@ -93,12 +97,96 @@ def canonical(graph: DataFrame) -> DataFrame:
         names = inner.groupBy("s").agg(F.concat(F.lit("_:"), F.sha2(F.array_join(F.array_sort(F.collect_set(F.concat_ws("=", "p", "o"))), "|"), 256)).alias("name")).checkpoint()
         if names.isEmpty():
             break
-        done = lambda kind, c: F.when(F.col("name").isNotNull(), "named").otherwise(F.col(kind))
-        named = named.join(names, "s", "left").withColumn("s_kind", done("s_kind", "s")).withColumn("s", F.coalesce("name", "s")).drop("name")
-        named = named.join(names.withColumnRenamed("s", "o"), "o", "left").withColumn("o_kind", done("o_kind", "o")).withColumn("o", F.coalesce("name", "o")).drop("name").checkpoint()
+        named = _renamed(named, names).checkpoint()
+    if not named.where("s_kind = 'bnode'").isEmpty():
+        named = _renamed(named, _cyclic(named))
     return named.select("s", "p", "o", "s_kind", "o_kind").distinct()
 
 
+def _renamed(graph: DataFrame, names: DataFrame) -> DataFrame:
+    """Subjects and objects that have a name (s, name) take it, and are no blank nodes from then on."""
+    done = lambda kind: F.when(F.col("name").isNotNull(), "named").otherwise(F.col(kind))
+    graph = graph.join(names, "s", "left").withColumn("s_kind", done("s_kind")).withColumn("s", F.coalesce("name", "s")).drop("name")
+    return graph.join(names.withColumnRenamed("s", "o"), "o", "left").withColumn("o_kind", done("o_kind")).withColumn("o", F.coalesce("name", "o")).drop("name")
+
+
+#: Steps of a search for what hangs together between two tables; facts of one such part, and ways to tell its nodes apart, at most.
+STEPS, FACTS, WAYS = 3, 1_000_000, 10_000
+
+
+def _cyclic(graph: DataFrame) -> DataFrame:
+    """(s, name) of blank nodes that lead to cycles. Parts that hang together over blank nodes are found by least labels and
+    named part by part, each in one task (`_told_apart`); a part of more than FACTS facts is an error."""
+    blank = graph.where("s_kind = 'bnode' OR o_kind = 'bnode'").select("s", "p", "o", "s_kind", "o_kind").distinct().checkpoint()
+    both = blank.where("s_kind = 'bnode' AND o_kind = 'bnode'")
+    near = both.select(F.col("s").alias("node"), F.col("o").alias("other")).union(both.select("o", "s")).distinct().checkpoint()
+    label = blank.where("s_kind = 'bnode'").select(F.col("s").alias("node")).union(blank.where("o_kind = 'bnode'").select("o")).distinct().withColumn("part", F.col("node"))
+    before = None
+    while True:
+        for _ in range(STEPS):
+            least = near.join(label.withColumnRenamed("node", "other"), "other").groupBy("node").agg(F.min("part").alias("least"))
+            label = label.join(least, "node", "left").select("node", F.least("part", "least").alias("part"))
+        label = label.checkpoint()
+        after = label.agg(F.sum(F.pmod(F.xxhash64("node", "part"), F.lit(1 << 40)))).first()[0]
+        if after == before:
+            break
+        before = after
+    own = F.when(F.col("s_kind") == "bnode", F.col("s")).otherwise(F.col("o"))
+    parted = blank.withColumn("node", own).join(label, "node").drop("node")
+    largest = parted.groupBy("part").count().agg(F.max("count")).first()[0]
+    if largest > FACTS:
+        raise ValueError(f"{largest} facts hang together over blank nodes")
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        names = _told_apart([(s if sk == "bnode" else None, s, p, o if ok == "bnode" else None, o, ok) for s, p, o, sk, ok in part[["s", "p", "o", "s_kind", "o_kind"]].itertuples(index=False)])
+        return pd.DataFrame(list(names.items()), columns=["s", "name"])
+
+    return parted.groupBy("part").applyInPandas(run, "s string, name string")
+
+
+def _told_apart(facts: list[tuple]) -> dict[str, str]:
+    """Names of a part's blank nodes that do not depend on their own ones.
+
+    Every node has a colour, refined by the predicates, directions and colours or terms around it until no class splits any
+    more. While nodes share a colour, the smallest such class is followed in as many ways as it has nodes, another one set
+    apart in each; of all ways the one with the least description counts. Nodes that can be exchanged give equal
+    descriptions. Raises above WAYS ways: such symmetry has no cheap name.
+    """
+    digest = lambda *x: sha256("\x00".join(x).encode()).hexdigest()
+    sides: dict[str, list[tuple]] = defaultdict(list)
+    for s_node, s, p, o_node, o, kind in facts:
+        if s_node is not None:
+            sides[s_node].append((f">{p}", o_node, f"{kind}={o}"))
+        if o_node is not None:
+            sides[o_node].append((f"<{p}", s_node, f"={s}"))
+
+    def refined(colour: dict[str, str]) -> dict[str, str]:
+        classes = len(set(colour.values()))
+        while True:
+            colour = {n: digest(colour[n], *sorted(f"{p} {colour[other] if other is not None else term}" for p, other, term in around)) for n, around in sides.items()}
+            if (now := len(set(colour.values()))) == classes:
+                return colour
+            classes = now
+
+    ways, best, open_ways = 0, None, [refined(dict.fromkeys(sides, ""))]
+    while open_ways:
+        colour = open_ways.pop()
+        of: dict[str, list[str]] = defaultdict(list)
+        for n, c in colour.items():
+            of[c].append(n)
+        tied = [(len(x), c) for c, x in of.items() if len(x) > 1]
+        if tied:
+            ways += min(tied)[0]
+            if ways > WAYS:
+                raise ValueError(f"more than {WAYS} ways to tell blank nodes apart that look alike")
+            open_ways += [refined(colour | {n: digest("apart", colour[n])}) for n in of[min(tied)[1]]]
+            continue
+        shown = digest(*sorted(f"{colour[a] if a is not None else s} {p} {colour[b] if b is not None else kind + '=' + o}" for a, s, p, b, o, kind in facts))
+        if best is None or shown < best[0]:
+            best = shown, colour
+    return {n: f"_:{digest(best[0], c)}" for n, c in best[1].items()}
+
+
 def count_change(before: DataFrame, after: DataFrame) -> DataFrame:
     """One row (before, after, change): distinct facts of two graphs, and by how many they differ."""
     facts = lambda g, side: g.select("s", "p", "o").distinct().select(F.lit(side).alias("side"))

@@ -13,7 +13,7 @@ from functools import reduce
 
 import pandas as pd
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -208,14 +208,24 @@ def read_templates(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.explode("manifest_schemas").alias("m")).select("m.*")
 
 
+def _decoded(c: Column) -> Column:
+    """A literal's text without its escapes. An escaped backslash is set aside first; what is left is JSON's but for two."""
+    x = F.replace(F.replace(c, F.lit("\\\\"), F.lit("\\u005c")), F.lit("\\'"), F.lit("'"))
+    parts = F.split(x, r"\\U")
+    wide = F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.decode(F.unhex(F.substring(p, 1, 8)), "UTF-32"), F.substring(p, F.lit(9), F.length(p)))))
+    options = {"allowUnquotedControlChars": "true"}
+    return F.when(c.contains("\\"), F.from_json(F.concat(F.lit('["'), F.array_join(wide, ""), F.lit('"]')), "array<string>", options)[0]).otherwise(c)
+
+
 def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
-    """N-Triples as triples (s, p, o, s_kind, o_kind, datatype, lang); comments and blank lines are skipped."""
+    """N-Triples as triples (s, p, o, s_kind, o_kind, datatype, lang); comments and blank lines are skipped. Blank nodes are
+    named by file, so that files can be put together; a literal typed as text is a plain one."""
     line = F.trim("value")
-    pattern = r'^(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*\.\s*$'
+    pattern = r'^(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(<[^>]*>|_:\S+|"(?:[^"\\]|\\.)*"(?:@[A-Za-z0-9-]+|\^\^<[^>]*>)?)\s*\.\s*(?:#.*)?$'
     part = lambda i: F.regexp_extract(line, pattern, i)
-    rows = spark.read.text(path).where(line.rlike(pattern)).select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"))
+    mark = F.concat(F.lit("_:f"), F.lpad(F.lower(F.hex(F.crc32(F.col("_metadata.file_path").cast("binary")))), 8, "0"), F.lit("."))
+    rows = spark.read.text(path).where(line.rlike(pattern)).select(part(1).alias("s"), part(2).alias("p"), part(3).alias("o"), mark.alias("mark"))
     kind = lambda c: F.when(F.col(c).startswith("<"), "iri").when(F.col(c).startswith("_:"), "bnode").otherwise("literal")
-    bare = lambda c: F.when(F.col(c).startswith("<"), F.expr(f"substr({c}, 2, length({c}) - 2)")).when(F.col(c).startswith('"'), F.regexp_extract(c, r'^"((?:[^"\\]|\\.)*)"', 1)).otherwise(F.col(c))
-    return rows.select(
-        bare("s").alias("s"), "p", bare("o").alias("o"), kind("s").alias("s_kind"), kind("o").alias("o_kind"), F.nullif(F.regexp_extract("o", r'"\^\^<([^>]*)>$', 1), F.lit("")).alias("datatype"), F.nullif(F.regexp_extract("o", r'"@([A-Za-z0-9-]+)$', 1), F.lit("")).alias("lang")
-    )
+    bare = lambda c: F.when(F.col(c).startswith("<"), F.expr(f"substr({c}, 2, length({c}) - 2)")).when(F.col(c).startswith('"'), _decoded(F.regexp_extract(c, r'^"((?:[^"\\]|\\.)*)"', 1))).otherwise(F.concat("mark", F.expr(f"substr({c}, 3)")))
+    datatype = F.nullif(F.nullif(F.regexp_extract("o", r'"\^\^<([^>]*)>$', 1), F.lit("")), F.lit("http://www.w3.org/2001/XMLSchema#string"))
+    return rows.select(bare("s").alias("s"), "p", bare("o").alias("o"), kind("s").alias("s_kind"), kind("o").alias("o_kind"), datatype.alias("datatype"), F.nullif(F.regexp_extract("o", r'"@([A-Za-z0-9-]+)$', 1), F.lit("")).alias("lang"))

@@ -3,6 +3,7 @@
 import importlib.util
 import json
 import os
+import random
 
 import duckdb
 import pytest
@@ -13,7 +14,7 @@ from tesserae.functions import text
 from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.queries import QUERIES, SQL
-from tesserae.sources import model, sinks
+from tesserae.sources import model, sinks, turtle
 from tesserae.streaming import drift
 
 HERE = os.path.dirname(__file__)
@@ -317,7 +318,9 @@ def test_graph(spark):
 def test_readers(spark, tmp_path):
     (tmp_path / "a.nt").write_text('<http://x/a> <http://p> "v \\"q\\""@en .\n# no\n\n_:b <http://p> <http://x/c> .\n<http://x/a> <http://n> "1"^^<http://int> .\n')
     got = {tuple(r) for r in model.read_ntriples(spark, f"{tmp_path}/a.nt").collect()}
-    assert got == {("http://x/a", "http://p", 'v \\"q\\"', "iri", "literal", None, "en"), ("_:b", "http://p", "http://x/c", "bnode", "iri", None, None), ("http://x/a", "http://n", "1", "iri", "literal", "http://int", None)}
+    blank = next(s for s, *_ in got if s.startswith("_:")).removeprefix("_:").removesuffix(".b")
+    assert blank[0] == "f" and len(blank) == 9
+    assert got == {("http://x/a", "http://p", 'v "q"', "iri", "literal", None, "en"), (f"_:{blank}.b", "http://p", "http://x/c", "bnode", "iri", None, None), ("http://x/a", "http://n", "1", "iri", "literal", "http://int", None)}
     (tmp_path / "t.csv").write_text('Term,URLs,Synonyms\na,u,"x; y"\nb,u,\na,w,z\n')
     terms = {r["Term"]: r["URLs"] for r in model.read_terms(spark, f"{tmp_path}/t.csv").collect()}
     assert terms == {"a": "w", "b": "u"}
@@ -374,3 +377,110 @@ def test_entry(spark):
     assert entry.entry(spark).limit(1).count() == 1 if os.path.isdir(DATA) else True
     if importlib.util.find_spec("tesserae.llm") is None:
         assert not any(k.startswith("op") for k in entry.queries())
+
+
+# --- Turtle and blank nodes -------------------------------------------------------------------------
+
+TURTLE = r'''@prefix ex: <http://e.org/x#> . # a comment
+@base <http://e.org/dir/doc> .
+PREFIX xsd: <http://www.w3.org/2001/XMLSchema#>
+ex:a a ex:C ; ex:p "xé\n\"q\"\\", 'y'@en-GB , """long "" "quoted"
+line"""^^xsd:string ; ; ex:n 1 , -2.5 , 1e3 .
+<#rel> ex:sub [ a ex:R ; ex:on ex:part\.of ; ex:some [ ex:deep () ] ] ; ex:list ( 1 "two" [ ex:k true ] ) .
+_:b1 ex:q _:b1.x . [ ex:alone "\U0001F600 yes" ] .
+<up> ex:p%20q ex:a:b.c .
+'''
+RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
+TWIN = r'''<http://e.org/x#a> <RDFtype> <http://e.org/x#C> .
+<http://e.org/x#a> <http://e.org/x#p> "xé\n\"q\"\\" .
+<http://e.org/x#a> <http://e.org/x#p> "y"@en-GB .
+<http://e.org/x#a> <http://e.org/x#p> "long \"\" \"quoted\"\nline" .
+<http://e.org/x#a> <http://e.org/x#n> "1"^^<http://www.w3.org/2001/XMLSchema#integer> .
+<http://e.org/x#a> <http://e.org/x#n> "-2.5"^^<http://www.w3.org/2001/XMLSchema#decimal> .
+<http://e.org/x#a> <http://e.org/x#n> "1e3"^^<http://www.w3.org/2001/XMLSchema#double> .
+<http://e.org/dir/doc#rel> <http://e.org/x#sub> _:r .
+_:r <RDFtype> <http://e.org/x#R> .
+_:r <http://e.org/x#on> <http://e.org/x#part.of> .
+_:r <http://e.org/x#some> _:d .
+_:d <http://e.org/x#deep> <RDFnil> .
+<http://e.org/dir/doc#rel> <http://e.org/x#list> _:l1 .
+_:l1 <RDFfirst> "1"^^<http://www.w3.org/2001/XMLSchema#integer> .
+_:l1 <RDFrest> _:l2 .
+_:l2 <RDFfirst> "two"^^<http://www.w3.org/2001/XMLSchema#string> .
+_:l2 <RDFrest> _:l3 .
+_:l3 <RDFfirst> _:k .
+_:k <http://e.org/x#k> "true"^^<http://www.w3.org/2001/XMLSchema#boolean> .
+_:l3 <RDFrest> <RDFnil> .
+_:x <http://e.org/x#q> _:y .
+_:z <http://e.org/x#alone> "\U0001F600 yes" . # said alone
+<http://e.org/dir/up> <http://e.org/x#p%20q> <http://e.org/x#a:b.c> .
+'''.replace("RDF", RDF)
+
+
+def test_turtle_equals_its_ntriples(spark, tmp_path):
+    (tmp_path / "a.ttl").write_text(TURTLE)
+    (tmp_path / "a.nt").write_text("# twin\n\n" + TWIN)
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b.ttl").write_text("<x> <y> _:b1 . _:1 <y> [] .")
+    (tmp_path / "bad.ttl").write_text("@prefix e: <http://e/> .\ne:a e:b e:c .\ne:a e:b ] .")
+    rows = turtle.read_turtle(spark, str(tmp_path)).persist()
+    errors = rows.where("s_kind = 'error'").collect()
+    assert len(errors) == 1 and errors[0]["o"].startswith("line 3: ") and errors[0]["file"].endswith("bad.ttl") and rows.where("file LIKE '%bad.ttl'").count() == 1
+    mine, twin = rows.where("file LIKE '%/a.ttl'"), model.read_ntriples(spark, f"{tmp_path}/a.nt")
+    full = ["p", "o", "o_kind", "datatype", "lang"]
+    literal = lambda g: sorted(map(repr, g.where("o_kind <> 'bnode'").select(*full).collect()))
+    assert literal(mine) == literal(twin) and mine.count() == twin.count() == 23
+    canon = lambda g: sorted(map(tuple, graph.canonical(g.where("p <> 'http://e.org/x#q'")).collect()))
+    assert canon(mine) == canon(twin)
+    names = [{r["s"] for r in rows.where(f"file LIKE '%/{f}.ttl' AND s_kind = 'bnode'").collect()} | {r["o"] for r in rows.where(f"file LIKE '%/{f}.ttl' AND o_kind = 'bnode'").collect()} for f in "ab"]
+    assert not names[0] & names[1] and len(names[1]) == 3  # blank nodes of two files, and given and made names, stay apart
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["ex:a ex:b ex:c .", "<a> <b> .", "<a> <b> <c>", "<a> <b> [ <c> <d> .", "'x' <b> <c> .", "<a> _:b <c> .", "<a> <b> <c> , .", "@prefix x <y> .", '<a> <b> "x\\q" .', "<a> <b> ( 1 ] .", "<a b> <c> <d> .", "[] .", "<a> <b> 1 2 .", "<a> a ; .", '<a> <b> "open', "<a> <b> 'x'^^ .", "@base <x>", "<a> <b> a ."],
+)
+def test_turtle_errors(text):
+    with pytest.raises(ValueError, match="line 1"):
+        list(turtle.parse(text))
+
+
+def test_turtle_nests_deep():
+    assert len(list(turtle.parse("<a> <b> " + "[ <c> ( " * 5_000 + "1" + " ) ]" * 5_000 + " ."))) == 15_001
+
+
+def test_path_through_a_blank_restriction(spark, tmp_path):
+    (tmp_path / "o.ttl").write_text("""@prefix e: <http://e/> . e:A e:sub e:B , [ a e:Restriction ; e:on e:has ; e:some e:X ] .
+    e:B e:sub [ a e:Restriction ; e:on e:lacks ; e:some e:Y ] , [ e:on e:has ; e:some e:Z ] . e:X e:label "x" .""")
+    g = turtle.read_turtle(spark, str(tmp_path))
+    found = graph.basic(g, ("?c", "http://e/sub", "?r"), ("?r", RDF + "type", "http://e/Restriction"), ("?r", "http://e/on", "http://e/has"), ("?r", "http://e/some", "?x"))
+    assert [(r["c"], r["x"]) for r in found.collect()] == [("http://e/A", "http://e/X")]
+
+
+def shuffled(edges, seed):
+    r = random.Random(seed)
+    names = sorted({x for s, _, o in edges for x in (s, o) if x.startswith("_:")})
+    new = dict(zip(names, r.sample([f"_:n{i}" for i in range(10 * len(names))], len(names)), strict=True))
+    out = [(new.get(s, s), p, new.get(o, o)) for s, p, o in edges]
+    r.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("name", ["ring", "marked", "two_triangles", "complete", "tail"])
+def test_canonical_cycles(spark, name):
+    """Renamed graphs become equal, facts and nodes are kept, and a graph that differs by a fact stays different."""
+    ring = lambda tag, n: [(f"_:{tag}{i}", "p", f"_:{tag}{(i + 1) % n}") for i in range(n)]
+    edges = {
+        "ring": ring("a", 6),
+        "marked": [*ring("a", 5), ("_:a2", "q", "x"), ("top", "has", "_:a4")],
+        "two_triangles": [*ring("a", 3), *ring("b", 3), ("_:b0", "q", "x"), *[(f"_:{k}{i}", "of", "_:hub") for k in "ab" for i in range(3)]],
+        "complete": [(f"_:a{i}", "p", f"_:b{j}") for i in range(3) for j in range(3)] + [(f"_:b{j}", "q", f"_:a{i}") for i in range(3) for j in range(3)],
+        "tail": [*ring("a", 2), ("_:t", "to", "_:a0"), ("_:u", "to", "_:t"), ("_:u", "is", "u"), ("_:leaf", "v", "1"), ("_:a1", "leaf", "_:leaf")],
+    }[name]
+    kind = lambda x: "bnode" if x.startswith("_:") else "iri"
+    frame = lambda es: spark.createDataFrame([(s, p, o, kind(s), kind(o)) for s, p, o in es], "s string, p string, o string, s_kind string, o_kind string")
+    canon = lambda es: {tuple(r)[:3] for r in graph.canonical(frame(es)).collect()}
+    one = canon(edges)
+    assert one == canon(shuffled(edges, 1)) and len(one) == len(edges)
+    assert len({x for s, _, o in one for x in (s, o) if x.startswith("_:")}) == len({x for s, _, o in edges for x in (s, o) if x.startswith("_:")})
+    assert canon(shuffled([*edges, (edges[0][0], "more", "y")], 2)) != one
