@@ -4,13 +4,14 @@ vocabularies), and on side tables: what has no data of its own in the other quer
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
 from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
 from tesserae.plans import compile, validate
 from tesserae.queries import query
-from tesserae.sources import model
+from tesserae.sources import model, turtle
 
 # --- the model ------------------------------------------------------------------------------------
 
@@ -293,8 +294,7 @@ def synonym_aliases(t):
 def browse_by_tier(t):
     """Order by tier, those without one last, then by name; the place in it is part of the result."""
     rows = t("nation").withColumn("tier", F.when(F.col("n_regionkey") < 2, F.col("n_regionkey")))
-    listed = browse.by_tier(rows, "tier", "n_name").limit(1_000).agg(F.collect_list("n_nationkey").alias("k"))
-    return listed.select(F.posexplode("k").alias("pos", "n_nationkey")).select("n_nationkey", (F.col("pos") + 1).alias("place"))
+    return browse.by_tier(rows, "tier", "n_name").select("n_nationkey", F.col("place").cast("int").alias("place"))
 
 
 @query("SELECT p_partkey, place FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey)::INT AS place FROM part WHERE contains(lower(p_name), 'ar')) WHERE place <= 20")
@@ -376,3 +376,60 @@ def model_column_types(t):
     cases = ['{"type": ["null", "integer"]}', '{"oneOf": [{"type": "integer"}, {"enum": ["a"]}]}', '{"oneOf": [{"type": "null"}, {"type": "array", "items": {"type": "boolean"}}]}', '{"oneOf": [{"type": ["number", "null"]}, {"type": "null"}]}', '{"oneOf": [{"type": "integer"}, {"type": "boolean"}]}', '{"type": "array", "items": {"type": "integer", "enum": [1]}}']
     schema = F.element_at(F.array(*[F.lit(c) for c in cases]), (F.col("p_partkey") % 6 + 1).cast("int"))
     return t("part").select("p_partkey", compile.column_type(schema).alias("column_type"))
+
+
+# --- Turtle and blank nodes ----------------------------------------------------------------------------
+
+_RDF = turtle.RDF
+
+
+def _described(t) -> DataFrame:
+    """Every part as a Turtle document: a name in a language, a typed price, a list of size and brand."""
+    key, quoted = F.col("p_partkey").cast("string"), lambda c: F.regexp_replace(c, r'(["\\])', r"\\$1")
+    text = F.concat(F.lit("@prefix e: <http://e.org/> .\n# one part\ne:P"), key, F.lit(' a e:Part ; e:name """'), quoted(F.col("p_name")), F.lit('"""@en ;\n e:price "'), F.col("p_retailprice").cast("string"), F.lit('"^^e:money ; e:dims ( '), F.col("p_size").cast("string"), F.lit(' "'), quoted(F.col("p_brand")), F.lit('" ) .'))
+    return turtle.parsed(t("part").select("p_partkey", text.alias("text")), "text", "p_partkey")
+
+
+@query("SELECT p_partkey, p_name AS name, 'en' AS lang, 'http://e.org/money' AS money, p_size::VARCHAR AS size, p_brand AS brand FROM part")
+def turtle_lists(t):
+    """Documents parsed into triples, and a list walked over its blank nodes."""
+    g = _described(t)
+    of = lambda p, name, *more: g.where(F.col("p") == f"http://e.org/{p}").select("s", F.col("o").alias(name), *more)
+    walked = graph.basic(g, ("?s", "http://e.org/dims", "?l"), ("?l", _RDF + "first", "?size"), ("?l", _RDF + "rest", "?m"), ("?m", _RDF + "first", "?brand"), ("?m", _RDF + "rest", _RDF + "nil"))
+    out = of("name", "name", "lang").join(of("price", "price", F.col("datatype").alias("money")), "s").join(walked, "s")
+    return out.select(F.substring_index("s", "P", -1).cast("long").alias("p_partkey"), "name", "lang", "money", "size", "brand")
+
+
+@query("SELECT s_suppkey, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey % 3 > 0")
+def bgp_restriction_path(t):
+    """Four patterns through an anonymous restriction: of those on a supplier only the ones on its nation count, and of these
+    only typed ones."""
+    n = F.col("s_nationkey").cast("string")
+    typed = F.when(F.col("s_suppkey") % 3 > 0, "a e:Restriction ; ").otherwise("")
+    text = F.concat(F.lit("@prefix e: <http://e.org/> . e:S"), F.col("s_suppkey").cast("string"), F.lit(" e:sub [ "), typed, F.lit("e:on e:nation ; e:some e:N"), n, F.lit(" ] , [ a e:Restriction ; e:on e:other ; e:some e:N"), n, F.lit(" ] ."))
+    g = turtle.parsed(t("supplier").select("s_suppkey", text.alias("text")), "text", "s_suppkey")
+    found = graph.basic(g, ("?s", "http://e.org/sub", "?r"), ("?r", _RDF + "type", "http://e.org/Restriction"), ("?r", "http://e.org/on", "http://e.org/nation"), ("?r", "http://e.org/some", "?n"))
+    names = t("nation").select(_named("http://e.org/N", F.col("n_nationkey")).alias("n"), "n_name")
+    return found.join(names, "n").select(F.substring_index("s", "S", -1).cast("long").alias("s_suppkey"), "n_name")
+
+
+@query("SELECT n_regionkey AS region, count(*) AS nodes, count(*) AS links, 0::BIGINT AS differences FROM nation GROUP BY ALL")
+def graph_canonical_cycles(t):
+    """The nations of each region as a ring of blank nodes, one of them marked with the region: two namings become one graph."""
+    n = F.col("n_nationkey")
+    ring = W.partitionBy("n_regionkey").orderBy(n)
+    rows = t("nation").withColumns({"next": F.coalesce(F.lead(n).over(ring), F.first(n).over(ring)), "place": F.row_number().over(ring)})
+
+    def named(letter: str, key) -> DataFrame:
+        name = lambda c: F.concat(F.lit(f"_:{letter}"), key(c).cast("string"))
+        links = rows.select(name(n).alias("s"), F.lit("next").alias("p"), name(F.col("next")).alias("o"), F.lit("bnode").alias("s_kind"), F.lit("bnode").alias("o_kind"))
+        marks = rows.where("place = 1").select(name(n).alias("s"), F.lit("region").alias("p"), F.col("n_regionkey").cast("string").alias("o"), F.lit("bnode").alias("s_kind"), F.lit("literal").alias("o_kind"))
+        return graph.canonical(links.unionByName(marks)).select("s", "p", "o")
+
+    a, b = named("a", lambda c: c), named("b", lambda c: 1000 - c * 7)
+    above = graph.path_plus(a.where("p = 'next'"), "next")
+    member = above.join(a.where("p = 'region'").select(F.col("s").alias("o"), F.col("o").cast("int").alias("region")), "o").select("s", "region")
+    counted = member.groupBy("region").agg(F.count("*").alias("nodes"))
+    links = a.where("p = 'next'").join(member, "s").groupBy("region").agg(F.count("*").alias("links"))
+    apart = a.subtract(b).unionByName(b.subtract(a)).agg(F.count("*").alias("differences"))  # one row
+    return counted.join(links, "region").crossJoin(F.broadcast(apart)).select("region", "nodes", "links", "differences")

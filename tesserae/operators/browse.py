@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tesserae.plans.compile import needs_checkpoints
+
 #: Fixed values of the table service whose limits are checked.
 ROW_LIMIT, ROW_WARNING, OVERHEAD = 64_000, 57_600, 14_554
 TEXT_BYTES, LIST_BYTES = 80 * 4, 80 * 20 * 4
@@ -56,8 +58,25 @@ def any_nested(rows: DataFrame, values: str, query: str) -> DataFrame:
     return rows.where(F.exists(values, lambda v: F.contains(F.lower(v), F.lit(query.lower()))))
 
 
+def placed(rows: DataFrame, *order: Column) -> DataFrame:
+    """rows with their place (from 1) in an order. Ranges of the order are written, counted, and numbered each by itself, so
+    no task sorts the whole; equal rows have places next to each other, in no fixed order."""
+    needs_checkpoints(rows.sparkSession)
+    keys = {f"_k{i}": c for i, c in enumerate(order)}
+    ranged = rows.withColumns(keys).repartitionByRange(*[F.col(k) for k in keys]).withColumn("_range", F.spark_partition_id()).checkpoint()
+    sizes = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}  # one number a range
+    before, offsets = 0, []
+    for r in sorted(sizes):
+        offsets += [F.lit(r), F.lit(before).cast("long")]
+        before += sizes[r]
+    within = F.row_number().over(W.partitionBy("_range").orderBy(*keys))
+    offset = F.create_map(*offsets)[F.col("_range")] if offsets else F.lit(0)
+    return ranged.withColumn("place", (offset + within).cast("long")).drop("_range", *keys)
+
+
 def by_tier(rows: DataFrame, tier: str, name: str) -> DataFrame:
-    return rows.orderBy(F.coalesce(F.col(tier), F.lit(2)), name)
+    """rows with their place in the order of tiers (rows without one as of tier 2), then of names."""
+    return placed(rows, F.coalesce(F.col(tier), F.lit(2)), F.col(name))
 
 
 def children(rows: DataFrame, parent: str, name: str) -> DataFrame:
