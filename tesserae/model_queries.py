@@ -3,14 +3,16 @@ vocabularies), and on side tables: what has no data of its own in the other quer
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
 from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
-from tesserae.plans import compile, validate
-from tesserae.queries import query
+from tesserae.plans import compile, rules, validate
+from tesserae.queries import BAD_ORDERS, ORDER, query
 from tesserae.sources import model, turtle
 
 # --- the model ------------------------------------------------------------------------------------
@@ -433,3 +435,49 @@ def graph_canonical_cycles(t):
     links = a.where("p = 'next'").join(member, "s").groupBy("region").agg(F.count("*").alias("links"))
     apart = a.subtract(b).unionByName(b.subtract(a)).agg(F.count("*").alias("differences"))  # one row
     return counted.join(links, "region").crossJoin(F.broadcast(apart)).select("region", "nodes", "links", "differences")
+
+
+# --- validation as data ----------------------------------------------------------------------------------
+
+_MANY = {
+    "order": ORDER,
+    "part": {"required": ["p_name"], "properties": {"p_size": {"type": "integer", "maximum": 45, "minimum": 3}, "p_brand": {"type": "string", "not": {"anyOf": [{"const": "Brand#11"}, {"const": "Brand#22"}]}}, "sizes": {"type": "array", "items": {"type": "integer", "maximum": 48}}}},
+    "customer": {"if": {"properties": {"c_mktsegment": {"const": "BUILDING"}}, "required": ["c_mktsegment"]}, "then": {"properties": {"c_acctbal": {"minimum": 0}}, "required": ["c_phone"]}},
+}
+
+
+def _many(t) -> DataFrame:
+    """(key, schema, json): orders, parts and customers, each record with the name of its schema, and nations without one."""
+    made = lambda name, key, schema, *columns: t(name).select(F.col(key).cast("long").alias("key"), F.lit(schema).alias("schema"), F.to_json(F.struct(*columns)).alias("json"))
+    return (
+        made("orders", "o_orderkey", "order", "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice")
+        .unionByName(made("part", "p_partkey", "part", "p_name", "p_size", "p_brand", F.array("p_size", F.col("p_size") + 2).alias("sizes")))
+        .unionByName(made("customer", "c_custkey", "customer", "c_mktsegment", "c_acctbal"))
+        .unionByName(made("nation", "n_nationkey", "nation", "n_name"))
+        .unionByName(t("region").select(F.col("r_regionkey").cast("long").alias("key"), F.lit("part").alias("schema"), F.col("r_name").alias("json")))
+    )
+
+
+@query(f"""SELECT 'order' AS schema, o_orderkey::BIGINT AS key, kind, field, rule FROM ({BAD_ORDERS})
+UNION ALL SELECT 'part', p_partkey, 'maximum', 'p_size', NULL FROM part WHERE p_size > 45 UNION ALL SELECT 'part', p_partkey, 'minimum', 'p_size', NULL FROM part WHERE p_size < 3
+UNION ALL SELECT 'part', p_partkey, 'not', 'p_brand', NULL FROM part WHERE p_brand IN ('Brand#11', 'Brand#22') UNION ALL SELECT 'part', p_partkey, 'items', 'sizes', NULL FROM part WHERE p_size > 46
+UNION ALL SELECT 'customer', c_custkey, 'minimum', 'c_acctbal', 0 FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal < 0 UNION ALL SELECT 'customer', c_custkey, 'required', 'c_phone', 0 FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL SELECT 'nation', n_nationkey, 'schema', '', NULL FROM nation UNION ALL SELECT 'part', r_regionkey, 'json', '', NULL FROM region""")
+def validate_many_schemas(t):
+    """Records of several schemas, of none, and texts that are no records, in one plan."""
+    schemas = t("region").sparkSession.createDataFrame([(k, json.dumps(s)) for k, s in _MANY.items()], "schema string, json string")
+    return rules.validate(_many(t), rules.rules(schemas), "schema", "key")
+
+
+@query("""WITH words AS (SELECT p_type FROM part GROUP BY p_type HAVING min(p_partkey) % 3 > 0), names AS (SELECT p_name FROM part GROUP BY p_name HAVING min(p_partkey) % 4 > 0)
+SELECT p_partkey, 'enum' AS kind, 'p_name' AS field, NULL::INT AS rule FROM part WHERE p_name NOT IN (SELECT p_name FROM names)
+UNION ALL SELECT p_partkey, 'items', 'types', 0 FROM part WHERE p_size > 25 AND p_type NOT IN (SELECT p_type FROM words)""")
+def validate_long_vocabularies(t):
+    """Vocabularies made of table rows, too long to stay in a check: one of texts, one of list items under a condition."""
+    part = t("part")
+    of = lambda c, n: part.groupBy(c).agg(F.min("p_partkey").alias("first")).where(f"first % {n} > 0").agg(F.to_json(F.array_sort(F.collect_set(c))).alias(c))
+    names, words = of("p_name", 4), of("p_type", 3)
+    text = F.concat(F.lit('{"properties": {"p_name": {"enum": '), F.col("p_name"), F.lit('}}, "if": {"properties": {"p_size": {"minimum": 26}}, "required": ["p_size"]}, "then": {"properties": {"types": {"items": {"enum": '), F.col("p_type"), F.lit("}}}}}"))
+    schemas = names.crossJoin(words).select(F.lit("part").alias("schema"), text.alias("json"))  # one row
+    records = part.select("p_partkey", F.lit("part").alias("schema"), F.to_json(F.struct("p_name", "p_size", F.array("p_type").alias("types"))).alias("json"))
+    return rules.validate(records, rules.rules(schemas, inline=3), "p_partkey")

@@ -51,7 +51,7 @@ ORDER = {
         {"if": {"properties": {"o_orderpriority": {"not": {"anyOf": [{"const": "5-LOW"}]}}}, "required": ["o_orderpriority"]}, "then": {"properties": {"o_orderstatus": {}}, "required": ["o_orderstatus"]}},
     ],
 }
-_BAD_ORDERS = """
+BAD_ORDERS = """
   SELECT o_orderkey, 'enum' AS kind, 'o_orderpriority' AS field, NULL::INT AS rule FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW')
   UNION ALL SELECT o_orderkey, 'pattern', 'o_orderstatus', NULL FROM orders WHERE NOT regexp_matches(o_orderstatus, '^[FO]$')
   UNION ALL SELECT o_orderkey, 'required', 'o_orderpriority', NULL FROM orders WHERE o_orderpriority IS NULL
@@ -63,13 +63,13 @@ def _orders(t) -> DataFrame:
     return validate.validate(_records(t("orders"), "o_orderkey", "o_orderpriority", "o_orderstatus", "o_totalprice"), ORDER)
 
 
-@query(_BAD_ORDERS)
+@query(BAD_ORDERS)
 def validate_records(t):
     """Every violation of every order record."""
     return validate.long_form(_orders(t), "o_orderkey")
 
 
-@query(f"SELECT kind, field, rule, count(*) AS records FROM ({_BAD_ORDERS}) GROUP BY ALL")
+@query(f"SELECT kind, field, rule, count(*) AS records FROM ({BAD_ORDERS}) GROUP BY ALL")
 def validate_summary(t):
     return validate.summary(_orders(t))
 

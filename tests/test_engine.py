@@ -4,6 +4,7 @@ import importlib.util
 import json
 import os
 import random
+import time
 
 import duckdb
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 import tesserae.model_queries  # noqa: F401  registers its queries
 from tesserae.functions import text
 from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
-from tesserae.plans import compile, validate
+from tesserae.plans import compile, rules, validate
 from tesserae.queries import QUERIES, SQL
 from tesserae.sources import model, sinks, turtle
 from tesserae.streaming import drift
@@ -484,3 +485,102 @@ def test_canonical_cycles(spark, name):
     assert one == canon(shuffled(edges, 1)) and len(one) == len(edges)
     assert len({x for s, _, o in one for x in (s, o) if x.startswith("_:")}) == len({x for s, _, o in edges for x in (s, o) if x.startswith("_:")})
     assert canon(shuffled([*edges, (edges[0][0], "more", "y")], 2)) != one
+
+
+# --- validation as data ------------------------------------------------------------------------------
+
+
+def by_rules(spark, schemas, records, **options):
+    """records: (key, schema, json). {(key, kind, field, rule)} by rules as data, and by one plan a schema."""
+    frame = spark.createDataFrame(records, "key int, schema string, json string")
+    table = spark.createDataFrame([(k, json.dumps(s)) for k, s in schemas.items()], "schema string, json string")
+    data = sorted(map(tuple, rules.validate(frame, rules.rules(table, inline=options.pop("inline", rules.INLINE)), "key", **options).collect()), key=repr)
+    one = [tuple(r) for k, s in schemas.items() for r in validate.long_form(validate.validate(frame.where(F.col("schema") == k), s, **options), "key").collect()]
+    return data, sorted(one, key=repr)
+
+
+def made_up(r):
+    """A random schema of the supported keywords."""
+    label = lambda: r.choice(["a", "b", "c", "yes", 1, 2.5, True, None])
+
+    def value(deep=True):
+        s = {}
+        if r.random() < 0.4:
+            s["type"] = r.choice(["string", "number", "integer", "boolean", "array", "object", ["string", "null"], ["integer", "string"]])
+        if r.random() < 0.4:
+            s["enum"] = [label() for _ in range(r.randint(1, 4))]
+        if r.random() < 0.15:
+            s["const"] = label()
+        if r.random() < 0.2:
+            s["maximum"] = r.choice([1, 2, 2.5])
+        if r.random() < 0.2:
+            s["minimum"] = r.choice([1, 2, 2.5])
+        if r.random() < 0.15:
+            s["pattern"] = r.choice(["^a", "e", "b$"])
+        if deep and r.random() < 0.3:
+            s["anyOf"] = [value(False) for _ in range(r.randint(1, 3))]
+        if deep and r.random() < 0.3:
+            s["not"] = r.choice([value(False) or {"const": "a"}, {"anyOf": [{"const": label()}, {"type": "integer", "maximum": 1}]}])
+        return s
+
+    def part(n):
+        names = r.sample("pqrst", n)
+        return {"properties": {k: value() | ({"items": value()} if r.random() < 0.3 else {}) for k in names}} | ({"required": r.sample(names, r.randint(1, n))} if r.random() < 0.6 else {})
+
+    s = part(4)
+    if r.random() < 0.6:
+        s["allOf"] = [{"if": part(r.randint(1, 2)), "then": part(r.randint(1, 2))} for _ in range(r.randint(1, 3))]
+    elif r.random() < 0.5:
+        s |= {"if": part(1), "then": part(2)}
+    if r.random() < 0.2:
+        s["not"] = part(1)
+    return s
+
+
+def test_rules_equal_one_plan_a_schema(spark):
+    r = random.Random(12)
+    schemas = {f"s{i}": made_up(r) for i in range(12)}
+    one = lambda: r.choice(["a", "b", "c", "yes", "zebra", 1, 2, 2.0, 2.5, 3, True, False, None, {"x": 1}, [], ["a", 1], [None, "b", 2.5], [["a"]]])
+    texts = [json.dumps({k: one() for k in r.sample("pqrst", r.randint(0, 5))}) for _ in range(60)] + ["", "[1]", "{", "3", "null", '{"p": 1e3, "q": 12345678901234567890}']
+    records = [(i, k, t) for k in schemas for i, t in enumerate(texts)] + [(0, "s0", None)]
+    data, want = by_rules(spark, schemas, records)
+    assert data == want and len(want) > 1_000
+    data, want = by_rules(spark, schemas, records, null_as_absent=False, inline=1)  # vocabularies leave their checks
+    assert data == want
+
+
+def test_rules_of_no_and_of_unknown_schemas(spark):
+    frame = spark.createDataFrame([(1, "a", "{}"), (2, "b", "{}"), (3, None, "{}"), (4, "a", "x")], "key int, schema string, json string")
+    table = spark.createDataFrame([("a", '{"required": ["k"]}')], "schema string, json string")
+    got = sorted(map(tuple, rules.validate(frame, rules.rules(table), "key").collect()))
+    assert got == [(1, "required", "k", None), (2, "schema", "", None), (3, "schema", "", None), (4, "json", "", None)]
+    assert rules.validate(frame.where("false"), rules.rules(table), "key").count() == 0
+    for bad in ({"properties": {"k": {"anyOf": [{"items": {"type": "string"}}]}}}, {"properties": {"k": {"properties": {}}}, "if": {"not": {}}, "then": {}}):
+        with pytest.raises(ValueError, match="not supported"):
+            rules.compiled("bad", bad)
+
+
+def test_long_vocabularies_leave_the_plan(spark, schemas):
+    """600 labels give the same violations, none of them stands in the plan, and the plan does not grow with properties."""
+    labels = [f"label {i}" for i in range(600)]
+    wide = {"properties": {f"p{i}": {"enum": labels} for i in range(54)} | {"many": {"type": "array", "items": {"type": "string", "enum": labels}}}}
+    wide["allOf"] = [{"if": {"properties": {"p1": {"const": "label 1"}}, "required": ["p1"]}, "then": {"properties": {"p2": {"enum": labels[:300]}}}}]
+    texts = [{"p0": "label 1", "p1": "label 1", "p2": "label 400", "many": ["label 5", "x", "y"]}, {"p0": "label 600", "p53": 7, "p2": "label 400", "many": "label 1"}, {"p1": None, "many": []}]
+    records = [(i, "wide", json.dumps(t)) for i, t in enumerate(texts)]
+    frame, table = spark.createDataFrame(records, "key int, schema string, json string"), spark.createDataFrame([("wide", json.dumps(wide))], "schema string, json string")
+    compiled = rules.rules(table).checkpoint()
+    began = time.time()
+    found = rules.validate(frame, compiled, "key")
+    plan = found._jdf.queryExecution().toString()
+    assert time.time() - began < 20 and "label 7" not in plan and "p53" not in plan and "LeftAnti" in plan
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([(0, "enum", "p2", 0), (0, "items", "many", None), (1, "enum", "p0", None), (1, "enum", "p53", None), (1, "type", "many", None), (2, "enum", "p1", None)], key=repr)
+
+
+def test_rules_on_the_model(spark, schemas):
+    """All classes of a compiled model in one plan, records as they stand in its own tests."""
+    r = random.Random(5)
+    value = lambda: r.choice(["Female", "Male", "days", ">= 90", 5, 0, 2.5, True, None, ["a"], ["Female", "days"], "x"])
+    names = sorted({k for s in schemas.values() for k in s.get("properties", {})})
+    records = [(i, k, json.dumps({n: value() for n in r.sample(names, r.randint(0, len(names)))})) for k in schemas for i in range(40)]
+    data, want = by_rules(spark, schemas, records)
+    assert data == want and len(want) > 100
