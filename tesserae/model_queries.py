@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tesserae.functions import text
-from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
+from tesserae.operators import browse, graph, lint, lookup, postings, profile, sync, synonyms
 from tesserae.plans import compile, rules, validate
 from tesserae.queries import BAD_ORDERS, ORDER, query
 from tesserae.sources import model, turtle
@@ -481,3 +481,27 @@ def validate_long_vocabularies(t):
     schemas = names.crossJoin(words).select(F.lit("part").alias("schema"), text.alias("json"))  # one row
     records = part.select("p_partkey", F.lit("part").alias("schema"), F.to_json(F.struct("p_name", "p_size", F.array("p_type").alias("types"))).alias("json"))
     return rules.validate(records, rules.rules(schemas, inline=3), "p_partkey")
+
+
+# --- positional search -----------------------------------------------------------------------------------
+
+_TOKENS = r"list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
+_AT = "list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(p) - 1] = p)"
+
+
+@query(f"""SELECT phrase, doc_id AS id, len({_AT}) AS n FROM (SELECT doc_id, {_TOKENS} AS w FROM documents),
+  (SELECT unnest([['the'], ['of', 'the'], ['the', 'and', 'to'], ['en', 'the'], ['a', 'a', 'a']]) AS p), LATERAL (SELECT array_to_string(p, ' ') AS phrase) WHERE len({_AT}) > 0""")
+def search_phrases(t):
+    """Phrases by places, repeats within a phrase too; the language stands in a field of its own, so `en the` never bridges."""
+    index = postings.postings(t("documents"), "doc_id", "lang", "text")
+    wanted = index.sparkSession.createDataFrame([("the",), ("of the",), ("the and to",), ("en the",), ("a a a",)], "phrase string")
+    return postings.phrases(index, wanted)
+
+
+@query(f"""SELECT query, doc_id AS id, sum(len({_AT}))::BIGINT AS n FROM (SELECT doc_id, {_TOKENS} AS w FROM documents),
+  (VALUES ('The', ['of', 'the']), ('The', ['the', 'and']), ('to', ['to']), ('and', ['and']), ('and', ['that'])) x(query, p) WHERE len({_AT}) > 0 GROUP BY ALL""")
+def search_phrases_of_synonyms(t):
+    """Queries that stand for several phrases: one is replaced, one is kept beside another, one has no rule."""
+    spark = t("documents").sparkSession
+    rules = spark.createDataFrame([("REPLACE", ["the", "of the", "the and"]), ("KEEP", ["and", "that"])], "kind string, terms array<string>")
+    return postings.search(postings.postings(t("documents"), "doc_id", "text"), spark.createDataFrame([("The",), ("to",), ("and",)], "query string"), rules)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from hashlib import sha256
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -148,10 +153,75 @@ def overlay(schema: dict, rule: dict, id: str | None = None) -> dict:
     return out | ({"$id": id} if id else {})
 
 
+def normal(schema):
+    """A schema's normal form: what says the same is the same. Sets (required, enum, types) are sorted, one label is a constant,
+    constants side by side are a vocabulary, a single allOf or anyOf is what it holds, empty keywords go."""
+    if isinstance(schema, list):
+        return [normal(x) for x in schema]
+    if not isinstance(schema, dict):
+        return schema
+    key = lambda x: json.dumps(x, sort_keys=True)
+    distinct = lambda xs: [json.loads(k) for k in sorted({key(x) for x in xs})]
+    literal = ("enum", "const", "required", "default", "examples")
+    out = {k: {p: normal(s) for p, s in v.items()} if k == "properties" else v if k in literal else normal(v) for k, v in schema.items()}
+    if out.get("anyOf") and all(set(s) in ({"const"}, {"enum"}) for s in out["anyOf"]):
+        labels = [x for s in out.pop("anyOf") for x in ([s["const"]] if "const" in s else s["enum"])]
+        out["enum"] = [x for x in labels if x in out["enum"]] if "enum" in out else labels
+    for k in ("enum", "required", "anyOf", "oneOf", "allOf"):
+        if isinstance(out.get(k), list):
+            out[k] = distinct(out[k])
+    if isinstance(out.get("type"), list):
+        out["type"] = sorted(out["type"])
+        if len(out["type"]) == 1:
+            out["type"] = out["type"][0]
+    if len(out.get("enum", [])) == 1 and "const" not in out:
+        out["const"] = out.pop("enum")[0]
+    for k in ("allOf", "anyOf"):
+        if len(out.get(k, [])) == 1 and isinstance(out[k][0], dict) and not set(out[k][0]) & (set(out) - {k}):
+            out |= normal(out.pop(k)[0])
+    return {k: out[k] for k in sorted(out) if not (k in ("required", "properties", "allOf", "anyOf") and not out[k])}
+
+
+def conditionals(schema: dict) -> list[dict]:
+    """The if/then rules of a schema, those inside allOf first."""
+    return [r for r in schema.get("allOf", []) if "if" in r] + ([{k: schema[k] for k in ("if", "then", "else") if k in schema}] if "if" in schema else [])
+
+
+def digest(rule: dict) -> str:
+    """Equal for rules of equal purpose."""
+    return sha256(json.dumps(normal(rule), sort_keys=True).encode()).hexdigest()
+
+
+def rule_digests(schemas: DataFrame) -> DataFrame:
+    """schemas (class, json) -> (class, rule, digest), one row per if/then rule: what to join and group rules of equal purpose on."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(c, i, digest(r)) for c, t in zip(batch["class"], batch["json"], strict=True) for i, r in enumerate(conditionals(json.loads(t)))]
+            yield pd.DataFrame(rows, columns=["class", "rule", "digest"])
+
+    return schemas.select("class", "json").mapInPandas(run, "class string, rule int, digest string")
+
+
+def with_conditionals(schemas: DataFrame, rule: dict, suffix: str = "Template") -> DataFrame:
+    """(class, json, added): the rule is added to each schema whose class ends with suffix, unless one of equal purpose is there;
+    adding again changes nothing."""
+    has = rule_digests(schemas).where(F.col("digest") == digest(rule)).select("class").distinct().withColumn("has", F.lit(True))
+    text = json.dumps(rule)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["json"] = [json.dumps(with_conditional(json.loads(t), json.loads(text))) if a else t for t, a in zip(batch["json"], batch["added"], strict=True)]
+            yield batch
+
+    marked = schemas.join(has, "class", "left").select("class", "json", (F.col("has").isNull() & F.col("class").endswith(suffix)).alias("added"))
+    return marked.mapInPandas(run, "class string, json string, added boolean")
+
+
 def with_conditional(schema: dict, rule: dict) -> dict:
-    """The schema with an if/then added unless it has an equal one; adding twice changes nothing."""
+    """The schema with an if/then added unless it has one of equal purpose; adding twice changes nothing."""
     held = schema.get("allOf") or ([{"if": schema["if"], "then": schema["then"]}] if "if" in schema else [])
-    if rule in held:
+    if digest(rule) in map(digest, conditionals(schema)):
         return schema
     rest = {k: v for k, v in schema.items() if k not in ("if", "then", "allOf")}
     return rest | {"allOf": [*held, rule]}

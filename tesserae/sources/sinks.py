@@ -1,27 +1,55 @@
-"""Writers: schema files, vocabulary files, tables, reports. Models and reports are small; records are written by Spark."""
+"""Writers: schema files, vocabulary files, tables, reports. Reports are small; files and records are written by Spark."""
 
 from __future__ import annotations
 
 import json
-import os
+from urllib.parse import unquote
+from uuid import uuid4
 
+import pandas as pd
 import yaml
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tesserae.sources import model
 
 
+def write_files(rows: DataFrame, folder: str) -> list[str]:
+    """rows (name, text): one file per name in a folder of any file system that Spark reaches; gives the names.
+
+    Tasks write below a folder of their own; only when all are done is each file renamed to its place, in one step, so a
+    failed task leaves the folder as it was. A text ends with one line end; of rows of one name the texts follow each other.
+    """
+    spark = rows.sparkSession
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    scratch = f"{folder.rstrip('/')}/_writing-{uuid4().hex}"
+    fs = path(scratch).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        rows.select(F.col("name").alias("_name"), F.regexp_replace("text", r"\n$", "").alias("value")).repartition("_name").write.partitionBy("_name").text(scratch)
+        written = sorted((unquote(s.getPath().getParent().getName().partition("=")[2]), s.getPath()) for s in fs.globStatus(path(f"{scratch}/_name=*/part-*")) or [])
+        for name, at in written:
+            to = path(f"{folder.rstrip('/')}/{name}")
+            if fs.exists(to):
+                fs.delete(to, False)
+            if not fs.rename(at, to):
+                raise OSError(f"{name} could not be put in place")
+        return [name for name, _ in written]
+    finally:
+        fs.delete(path(scratch), True)
+
+
+@F.pandas_udf(StringType())
+def indented(texts: pd.Series) -> pd.Series:
+    """JSON texts with two spaces a level, keys in their order."""
+    return texts.map(lambda t: json.dumps(json.loads(t), indent=2))
+
+
 def write_schemas(schemas: DataFrame, folder: str) -> list[str]:
-    """One indented JSON file per class (class, json); a model's classes are few."""
-    os.makedirs(folder, exist_ok=True)
-    names = []
-    for r in schemas.orderBy("class").toLocalIterator():
-        with open(f"{folder}/{r['class']}.json", "w") as f:
-            json.dump(json.loads(r["json"]), f, indent=2)
-            f.write("\n")
-        names.append(r["class"])
-    return names
+    """One indented JSON file per class (class, json); gives the classes."""
+    named = schemas.select(F.concat("class", F.lit(".json")).alias("name"), indented("json").alias("text"))
+    return [n.removesuffix(".json") for n in write_files(named, folder)]
 
 
 def enum_yaml(name: str, entries: dict[str, dict], warning: str = "Generated; changes by hand are lost.") -> str:

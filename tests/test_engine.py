@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import tesserae.model_queries  # noqa: F401  registers its queries
 from tesserae.functions import text
-from tesserae.operators import browse, graph, lint, lookup, profile, sync, synonyms
+from tesserae.operators import browse, graph, lint, lookup, postings, profile, sync, synonyms
 from tesserae.plans import compile, rules, validate
 from tesserae.queries import QUERIES, SQL
 from tesserae.sources import model, sinks, turtle
@@ -584,3 +584,47 @@ def test_rules_on_the_model(spark, schemas):
     records = [(i, k, json.dumps({n: value() for n in r.sample(names, r.randint(0, len(names)))})) for k in schemas for i in range(40)]
     data, want = by_rules(spark, schemas, records)
     assert data == want and len(want) > 100
+
+
+# --- phrases, equal rules, files ---------------------------------------------------------------------
+
+
+def test_phrases_do_not_bridge_fields(spark):
+    docs = spark.createDataFrame([(1, "red", ["big cat", "dog red"], "Cat, dog! cat dog"), (2, None, None, None), (3, "big", ["cat"], "x")], "id int, a string, b array<string>, c string")
+    index = postings.postings(docs, "id", "a", "b", "c").persist()
+    assert sorted((r["term"], r["place"]) for r in index.where("id = 1").collect()) == sorted([("red", 0), ("big", 101), ("cat", 102), ("dog", 203), ("red", 204), ("cat", 305), ("dog", 306), ("cat", 307), ("dog", 308)])
+    wanted = spark.createDataFrame([("cat dog",), ("Red big",), ("big cat",), ("dog cat dog",), ("!",), ("none",)], "phrase string")
+    assert sorted(map(tuple, postings.phrases(index, wanted).collect())) == [("big cat", 1, 1), ("cat dog", 1, 2), ("dog cat dog", 1, 1)]
+
+
+def test_rules_of_equal_purpose(spark):
+    one = {"if": {"properties": {"a": {"const": "x"}}, "required": ["a"]}, "then": {"properties": {"b": {"enum": ["p", "q"]}}, "required": ["b", "c"]}}
+    same = [
+        {"then": {"required": ["c", "b"], "properties": {"b": {"enum": ["q", "p", "q"]}}}, "if": {"required": ["a"], "properties": {"a": {"enum": ["x"]}}}},
+        {"if": {"allOf": [{"properties": {"a": {"const": "x"}}, "required": ["a"]}]}, "then": {"properties": {"b": {"anyOf": [{"const": "q"}, {"enum": ["p"]}]}}, "required": ["c", "b"], "allOf": []}},
+    ]
+    other = [{"if": one["if"], "then": {"required": ["b"]}}, {"if": {"properties": {"a": {"const": "y"}}, "required": ["a"]}, "then": one["then"]}, {"if": {"properties": {"a": {"const": "x"}}}, "then": one["then"]}]
+    assert {compile.digest(r) for r in same} == {compile.digest(one)} and len({compile.digest(r) for r in [one, *other]}) == 4
+    assert compile.normal({"properties": {"required": {"enum": [2, 1]}, "anyOf": {"const": 1}}}) == {"properties": {"anyOf": {"const": 1}, "required": {"enum": [1, 2]}}}  # names of properties are no keywords
+    schemas = spark.createDataFrame([("ATemplate", json.dumps({"allOf": [same[0], other[0]]})), ("BTemplate", json.dumps({"title": "B", **same[1]})), ("CTemplate", json.dumps(other[2])), ("DTemplate", "{}"), ("E", "{}")], "class string, json string")
+    added = {r["class"]: r for r in compile.with_conditionals(schemas, one).collect()}
+    assert {k for k, r in added.items() if r["added"]} == {"CTemplate", "DTemplate"}
+    assert json.loads(added["CTemplate"]["json"])["allOf"] == [other[2], one] and json.loads(added["ATemplate"]["json"])["allOf"] == [same[0], other[0]]
+    again = compile.with_conditionals(spark.createDataFrame([(k, r["json"]) for k, r in added.items()], "class string, json string"), one)
+    assert again.where("added").count() == 0 and {r["class"]: r["json"] for r in again.collect()} == {k: r["json"] for k, r in added.items()}
+    digests = compile.rule_digests(schemas).groupBy("digest").count().collect()
+    assert sorted(r["count"] for r in digests) == [1, 1, 2]
+
+
+def test_files_are_put_in_place_whole(spark, tmp_path):
+    rows = spark.createDataFrame([("a b=c.txt", "one\ntwo\n"), ("é.json", "{}"), ("empty", "")], "name string, text string").repartition(3)
+    folder = f"file://{tmp_path}/out"
+    assert sinks.write_files(rows, folder) == ["a b=c.txt", "empty", "é.json"]
+    read = lambda: {p.name: p.read_text() for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")}
+    assert read() == {"a b=c.txt": "one\ntwo\n", "é.json": "{}\n", "empty": "\n"}
+    fails = rows.union(spark.createDataFrame([("z", "new"), ("a b=c.txt", "other")], rows.schema)).withColumn("text", F.when(F.col("name") == "z", F.raise_error(F.lit("no"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="no"):
+        sinks.write_files(fails, folder)
+    assert read() == {"a b=c.txt": "one\ntwo\n", "é.json": "{}\n", "empty": "\n"}  # nothing half written, nothing left over
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.files.link./out", f"file://{tmp_path}/out")
+    assert sinks.write_files(spark.createDataFrame([("empty", "now not")], rows.schema), "viewfs://files/out") == ["empty"] and read()["empty"] == "now not\n"
