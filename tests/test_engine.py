@@ -628,3 +628,90 @@ def test_files_are_put_in_place_whole(spark, tmp_path):
     assert read() == {"a b=c.txt": "one\ntwo\n", "é.json": "{}\n", "empty": "\n"}  # nothing half written, nothing left over
     spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.files.link./out", f"file://{tmp_path}/out")
     assert sinks.write_files(spark.createDataFrame([("empty", "now not")], rows.schema), "viewfs://files/out") == ["empty"] and read()["empty"] == "now not\n"
+
+
+# --- edits in place -----------------------------------------------------------------------------------
+
+MODULE = """# head comment
+enums:
+  Sex:   # of a person
+    permissible_values:
+      Male: {meaning: "x:1", aliases: [M, man]}
+
+      Female:
+        description: 'a  b'
+        aliases:
+        - F   # short
+        - woman
+      # behind the last one
+  Unit:
+    permissible_values:
+  Tool:
+    description: |
+      two
+      lines
+
+    permissible_values: {}
+slots:
+  age: {range: integer}
+  'note': text
+"""
+
+
+def test_edits_leave_the_rest_alone():
+    import difflib
+
+    import yaml
+
+    from tesserae.sources import edits
+
+    cases = [
+        ("put", ["enums", "Sex", "permissible_values", "Other"], {"description": "n: 1", "aliases": ["O"]}),
+        ("put", ["enums", "Sex", "permissible_values", "Female", "description"], "new: text"),
+        ("append", ["enums", "Sex", "permissible_values", "Female", "aliases"], "girl # not a comment"),
+        ("append", ["enums", "Sex", "permissible_values", "Male", "aliases"], "boy"),
+        ("put", ["enums", "Sex", "permissible_values", "Male", "source"], "https://x"),
+        ("put", ["enums", "Unit", "permissible_values", "days"], None),
+        ("put", ["enums", "Tool", "permissible_values", "hammer"], {}),
+        ("put", ["enums", "Tool", "description"], "one line"),
+        ("put", ["slots", "note"], 5),
+        ("put", ["slots", "age", "range"], "number"),
+        ("put", ["slots", "new", "deep", "er"], [1, {"a": "b"}]),
+        ("remove", ["enums", "Sex", "permissible_values", "Male"], None),
+        ("remove", ["enums", "Tool", "description"], None),
+        ("put", ["prefixes", "x"], "http://x/"),
+    ]
+    for text in (MODULE, MODULE.removesuffix("\n")):
+        for case in cases:
+            [(n, line, start, end, new, error)] = edits.script(text, [case])
+            assert error is None, (case, error)
+            edited = text[:start] + new + text[end:]
+            assert yaml.safe_load(edited) == edits._expected(yaml.safe_load(text), *case) != yaml.safe_load(text)
+            lost = [x for x in difflib.ndiff(text.splitlines(), edited.splitlines()) if x[0] == "-"]
+            assert len(lost) <= (4 if case[0] == "remove" or case[1][-1] == "description" else 1), (case, lost)
+        whole = edits.script(text, cases)
+        assert [x[0] for x in whole] == list(range(14)) and not any(x[5] for x in whole)
+        for _, _, start, end, new, _ in whole:
+            text = text[:start] + new + text[end:]
+        assert all(f"{c}\n" in text for c in ("# head comment", "  Sex:   # of a person", "        - F   # short", "      # behind the last one"))
+        assert edits.script(text, [c for c in cases if c[0] != "remove" and "Male" not in c[1] and c[1] != ["enums", "Tool", "description"]]) == []  # again changes nothing
+    bad = [("put", ["slots", "note", "x"], 1), ("append", ["slots", "age"], 1), ("remove", ["slots", "age", "range"], None), ("other", ["a"], 1), ("put", [], 1)]
+    assert all(x[5] for x in edits.script(MODULE, bad)) and len(edits.script(MODULE, bad)) == 5
+    assert edits.script("a: [", [("put", ["b"], 1)])[0][5] and edits.script("", [("put", ["a", "b"], 1)])[0][4] == "a:\n  b: 1\n"
+
+
+def test_edits_as_rows(spark, tmp_path):
+    from tesserae.sources import edits
+
+    (tmp_path / "a.yaml").write_text(MODULE)
+    (tmp_path / "b.yaml").write_text("x: 1 # one\n")
+    (tmp_path / "c.yaml").write_text("left: alone\n")
+    files = spark.read.text(str(tmp_path), wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"), F.col("value").alias("text"))
+    asked = [("a.yaml", 2, "put", ["slots", "age", "range"], '"float"'), ("a.yaml", 1, "put", ["slots", "age", "range"], '"number"'), ("a.yaml", 3, "put", ["slots", "age"], '{"range": "float"}'), ("a.yaml", 4, "append", ["slots", "age"], "1"), ("b.yaml", 1, "put", ["x"], "2"), ("none.yaml", 1, "put", ["x"], "2")]
+    found = edits.scripted(files, spark.createDataFrame(asked, "file string, ord int, action string, keys array<string>, value string")).persist()
+    assert sorted(map(tuple, edits.counts(found).collect())) == [("a.yaml", 2, 1), ("b.yaml", 1, 0)]
+    assert {r["line"] for r in found.where("file = 'a.yaml' AND error IS NULL").collect()} == {MODULE.splitlines().index("  age: {range: integer}") + 1}
+    done = edits.applied(files, found).collect()
+    assert {r["file"]: (r["text"], r["changes"]) for r in done} == {"a.yaml": (MODULE.replace("integer", "float"), 2), "b.yaml": ("x: 2 # one\n", 1)}
+    sinks.write_files(edits.applied(files, found).select(F.col("file").alias("name"), "text"), str(tmp_path))
+    assert (tmp_path / "b.yaml").read_text() == "x: 2 # one\n" and (tmp_path / "c.yaml").read_text() == "left: alone\n"
