@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tesserae.functions import text
 from tesserae.operators import browse, graph, lint, lookup, postings, profile, sync, synonyms
 from tesserae.plans import compile, rules, validate
-from tesserae.queries import BAD_ORDERS, ORDER, query
+from tesserae.queries import BAD_ORDERS, ORDER, SQL, query
 from tesserae.sources import model, turtle
 
 # --- the model ------------------------------------------------------------------------------------
@@ -505,3 +505,17 @@ def search_phrases_of_synonyms(t):
     spark = t("documents").sparkSession
     rules = spark.createDataFrame([("REPLACE", ["the", "of the", "the and"]), ("KEEP", ["and", "that"])], "kind string, terms array<string>")
     return postings.search(postings.postings(t("documents"), "doc_id", "text"), spark.createDataFrame([("The",), ("to",), ("and",)], "query string"), rules)
+
+
+# --- a model out of a graph ------------------------------------------------------------------------------
+
+
+@query(SQL["model_properties"])
+def model_properties_of_graph(t):
+    """A model told as triples with blank nodes, read back by patterns, and its properties resolved by the nearest class."""
+    d = F.col("def")
+    branches = F.coalesce(F.size(F.coalesce(d["any_of"], F.array().cast("array<struct<range:string>>"))), F.lit(0))
+    told = graph.model_graph(_model(t))
+    renamed = lambda c: F.when(F.col(c).startswith("_:"), F.concat(F.lit("_:x"), F.md5(F.col(c)))).otherwise(F.col(c)).alias(c)
+    back = graph.model_items(told.select(renamed("s"), "p", renamed("o"), "s_kind", "o_kind", "datatype"))
+    return compile.properties(back).select("class", "property", F.col("order.depth").cast("int").alias("depth"), d["required"].alias("required"), d["range"].alias("range"), branches.alias("branches"))

@@ -223,3 +223,41 @@ def inferred(graph: DataFrame, sub: str = "subClassOf", type: str = "type") -> D
     types = pattern(graph, "?s", type, "?c").join(above.withColumnRenamed("s", "c"), "c").select("s", F.lit(type).alias("p"), "o")
     more = classes.union(types).select("s", "p", "o", F.lit("iri").alias("s_kind"), F.lit("iri").alias("o_kind"))
     return graph.select("s", "p", "o", "s_kind", "o_kind").union(more).distinct()
+
+
+#: What a class, or a vocabulary, has below it: each a blank node that says of what, at which place, and what it sets.
+MEMBERS = ("class_slot", "attribute", "usage", "rule", "value")
+
+
+def model_graph(items: DataFrame) -> DataFrame:
+    """A model with all it says as triples (s, p, o, s_kind, o_kind, datatype). Classes, slots and vocabularies are named by
+    kind and name; their members are blank nodes. Texts are plain literals, other values JSON of datatype `json`."""
+    top = ~F.col("kind").isin(*MEMBERS)
+    own = F.when(top, F.concat_ws("/", "kind", "name")).otherwise(F.concat(F.lit("_:"), F.sha2(F.concat_ws("\x00", "kind", "name", "key", F.col("ord").cast("string")), 256)))
+    rows = items.where("kind <> 'error'").select(own.alias("s"), F.when(top, "iri").otherwise("bnode").alias("s_kind"), "kind", "name", "key", "ord", F.try_parse_json("body").alias("body"))
+    said = lambda p, o, kind="literal", datatype=None: F.struct(F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("datatype"))
+    about = F.array(said("type", F.col("kind"), "iri"), said("place", F.col("ord"), datatype="json"), said("of", F.col("key")), said("name", F.when(F.col("s_kind") == "iri", F.col("name"))))
+    facts = rows.select("s", "s_kind", F.explode(about).alias("f")).where("f.o IS NOT NULL").select("s", "f.p", "f.o", "s_kind", "f.o_kind", "f.datatype")
+    owner = F.when(F.col("kind") == "value", F.concat(F.lit("enum/"), "name")).otherwise(F.concat(F.lit("class/"), "name"))
+    members = rows.where("s_kind = 'bnode'").select(owner.alias("s"), F.lit("member").alias("p"), F.col("s").alias("o"), F.lit("iri").alias("s_kind"), F.lit("bnode").alias("o_kind"), F.lit(None).cast("string").alias("datatype"))
+    text = F.col("set")["kind"] == "STRING"
+    each = F.transform(F.map_entries(F.try_variant_get("body", "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("p"), F.schema_of_variant(e["value"]).alias("kind"), F.try_variant_get(e["value"], "$", "string").alias("text"), F.to_json(e["value"]).alias("json")))
+    sets = rows.select("s", "s_kind", F.explode(each).alias("set")).select("s", F.concat(F.lit("set/"), "set.p").alias("p"), F.when(text, F.col("set.text")).otherwise(F.coalesce("set.json", F.lit("null"))).alias("o"), "s_kind", F.lit("literal").alias("o_kind"), F.when(~text, "json").alias("datatype"))
+    return facts.unionByName(members).unionByName(sets)
+
+
+def model_items(graph: DataFrame, file: str = "graph") -> DataFrame:
+    """The declarations that a graph describes (`model_graph`), as the model reader gives them: what compiling takes. Members are
+    found through their owners; blank nodes may have any names. What is said twice counts once."""
+    facts = graph.select("s", "p", "o", "datatype").distinct()
+    quoted = F.regexp_extract(F.to_json(F.array("o")), r"(?s)^\[(.*)\]$", 1)
+    member = F.concat(F.to_json(F.array(F.substring_index("p", "/", -1))), F.lit(":"), F.when(F.col("datatype") == "json", F.col("o")).otherwise(quoted))
+    member = F.regexp_replace(member, r"^\[(\"(?:[^\"\\]|\\.)*\")\]", "$1")
+    one = lambda p: F.max(F.when(F.col("p") == p, F.col("o")))
+    body = F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("p").startswith("set/"), member))), ","), F.lit("}"))
+    nodes = facts.groupBy("s").agg(one("type").alias("kind"), one("name").alias("own"), one("of").alias("key"), one("place").cast("int").alias("ord"), body.alias("body"))
+    owners = facts.where("p = 'member'").select(F.col("o").alias("s"), F.col("s").alias("owner"))
+    owned = nodes.join(owners, "s", "left").join(nodes.select(F.col("s").alias("owner"), F.col("own").alias("owned_by")), "owner", "left")
+    needs_checkpoints(graph.sparkSession)
+    # compiling reads a model many times
+    return owned.where("kind IS NOT NULL").select("kind", F.coalesce("own", "owned_by").alias("name"), "key", "ord", "body", F.lit(file).alias("file")).checkpoint()

@@ -715,3 +715,14 @@ def test_edits_as_rows(spark, tmp_path):
     assert {r["file"]: (r["text"], r["changes"]) for r in done} == {"a.yaml": (MODULE.replace("integer", "float"), 2), "b.yaml": ("x: 2 # one\n", 1)}
     sinks.write_files(edits.applied(files, found).select(F.col("file").alias("name"), "text"), str(tmp_path))
     assert (tmp_path / "b.yaml").read_text() == "x: 2 # one\n" and (tmp_path / "c.yaml").read_text() == "left: alone\n"
+
+
+def test_model_through_a_graph(spark, items):
+    """Model to triples and back: the same declarations, and whole schemas."""
+    told = graph.model_graph(items.where("kind <> 'error'"))
+    assert {r["o_kind"] for r in told.where("p = 'member'").collect()} == {"bnode"}
+    back = graph.model_items(told.union(told).repartition(3))
+    shape = lambda rows: sorted(((r["kind"], r["name"], r["key"], r["ord"], json.dumps(json.loads(r["body"]), sort_keys=True)) for r in rows.collect()), key=repr)
+    assert shape(back) == shape(items.where("kind <> 'error'"))
+    whole = lambda rows: {r["class"]: json.loads(r["json"]) for r in compile.schemas(rows, "org.example-").collect()}
+    assert whole(back) == whole(items)
