@@ -34,11 +34,14 @@ def pattern(graph: DataFrame, s: str, p: str, o: str) -> DataFrame:
     return rows.select(*out)
 
 
-def basic(graph: DataFrame, *patterns: tuple[str, str, str]) -> DataFrame:
-    """Patterns joined on the variables they share."""
+def basic(graph: DataFrame, *patterns: tuple[str, str, str], product: bool = False) -> DataFrame:
+    """Patterns joined on the variables they share, in their order. One that shares none with those before it multiplies rows; that
+    must be asked for."""
 
     def join(a: DataFrame, b: DataFrame) -> DataFrame:
         shared = [c for c in a.columns if c in b.columns]
+        if not shared and not product:
+            raise ValueError("a pattern shares no variable with those before it")
         return a.join(b, shared) if shared else a.crossJoin(b)
 
     return reduce(join, [pattern(graph, *x) for x in patterns])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tesserae.sources import model
 
+#: How often an unmatched value, and how many different values of a field, are seen before they are told.
 LEAST_COUNT = 2
 LEAST_DISTINCT = 5
 

@@ -727,3 +727,10 @@ def test_model_through_a_graph(spark, items):
     assert shape(back) == shape(items.where("kind <> 'error'"))
     whole = lambda rows: {r["class"]: json.loads(r["json"]) for r in compile.schemas(rows, "org.example-").collect()}
     assert whole(back) == whole(items)
+
+
+def test_patterns_do_not_multiply_unasked(spark):
+    g = spark.createDataFrame([("a", "p", "b"), ("c", "q", "d")], "s string, p string, o string")
+    with pytest.raises(ValueError, match="shares no variable"):
+        graph.basic(g, ("?a", "p", "?b"), ("?c", "q", "?d"))
+    assert graph.basic(g, ("?a", "p", "?b"), ("?c", "q", "?d"), product=True).count() == 1
