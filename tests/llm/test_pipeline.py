@@ -3,7 +3,8 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline
-from tests.llm.test_operators import SCHEMA, corpus, fingerprint
+from tests.llm.test_near_copies import brute
+from tests.llm.test_operators import SCHEMA, corpus
 
 from tesserae.llm import langid, mixing
 
@@ -20,15 +21,8 @@ def test_run(spark, tmp_path):
     for r in sorted(left, key=lambda r: r[0]):
         first.setdefault(r[1], r)
     left = list(first.values())
-    label = {r[0]: r[0] for r in left}
-    find = lambda x: x if label[x] == x else find(label[x])
-    fps = {r[0]: fingerprint(r[1]) for r in left}
-    for a in label:
-        for b in label:
-            if a < b and (fps[a] ^ fps[b]).bit_count() <= 4:
-                x, y = find(a), find(b)
-                label[max(x, y)] = min(x, y)
-    left = [r for r in left if find(r[0]) == r[0]]
+    label = brute({r[0]: r[1] for r in left})
+    left = [r for r in left if label[r[0]] == r[0]]
     kept = spark.createDataFrame([(*r, len(r[1])) for r in left], "doc_id long, text string, lang string, source string, n_chars long")
     copies = Counter({r["doc_id"]: r["copies"] for r in mixing.mix(kept).select("row.doc_id", "copies").collect()})
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
