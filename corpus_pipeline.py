@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tesserae.llm import exact_dedup, langid, mixing, packing, simhash
+from tesserae.llm import exact_dedup, langid, mixing, near_copies, packing
 from tesserae.llm.common import materialize
 from tesserae.llm.queries import TOKENIZER
 
@@ -29,9 +29,10 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each SimHash component keeps the document with the smallest doc_id. Shingles of 4 words, 4 of 64 bits, as the
-    operator's contract has them: of pairs just above a Jaccard similarity of 0.8 most stay (README). Texts without a word are alike; of a component without any id all rows stay."""
-    return simhash.one_of_each(docs)
+    """Of each group of near copies (shingles of 5 words, Jaccard similarity 0.8 or more, linked pair by pair) keeps the
+    document with the smallest doc_id. SimHash of several hundred bits finds the pairs, an exact check confirms them; a pair
+    at exactly 0.8 meets with probability 0.98. Texts without a word are alike; of a group without any id all rows stay."""
+    return near_copies.one_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
