@@ -89,6 +89,12 @@ def schema_id(id: Column) -> Column:
     return F.struct(F.regexp_extract(bare, "^([^-]*)-", 1).alias("org"), F.regexp_extract(bare, "^[^-]*-(.*)$", 1).alias("name"))
 
 
+def id_parts(id: Column) -> Column:
+    """struct<org, name> of an id cut at its first dash; null unless both parts hold something."""
+    cut = F.split(id, "-", 2)
+    return F.when((F.size(cut) == 2) & (F.trim(cut[0]) != "") & (F.trim(F.get(cut, F.lit(1))) != ""), F.struct(cut[0].alias("org"), F.get(cut, F.lit(1)).alias("name")))
+
+
 def rrid(c: Column) -> Column:
     """RRID:x and rrid:x stay, bare ids get rrid:, blank is null."""
     bare = F.trim(c)

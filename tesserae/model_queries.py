@@ -519,3 +519,21 @@ def model_properties_of_graph(t):
     renamed = lambda c: F.when(F.col(c).startswith("_:"), F.concat(F.lit("_:x"), F.md5(F.col(c)))).otherwise(F.col(c)).alias(c)
     back = graph.model_items(told.select(renamed("s"), "p", renamed("o"), "s_kind", "o_kind", "datatype"))
     return compile.properties(back).select("class", "property", F.col("order.depth").cast("int").alias("depth"), d["required"].alias("required"), d["range"].alias("range"), branches.alias("branches"))
+
+
+@query("""WITH first AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place FROM orders QUALIFY place <= 10)
+SELECT o_custkey, o_orderkey, place::INT AS place, row_number() OVER (PARTITION BY o_custkey ORDER BY place)::INT AS rank FROM first
+WHERE o_orderpriority = '1-URGENT' QUALIFY rank <= 3""")
+def lookup_first_found(t):
+    """Of each customer's first 10 orders the first 3 urgent ones."""
+    return lookup.first_found(t("orders"), "o_custkey", "o_orderkey", F.col("o_orderpriority") == "1-URGENT").select("o_custkey", "o_orderkey", "place", "rank")
+
+
+@query("""SELECT p_partkey FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#13')
+AND CASE split_part(p_type, ' ', 1) WHEN 'STANDARD' THEN 1 WHEN 'SMALL' THEN 2 WHEN 'MEDIUM' THEN 3 WHEN 'PROMO' THEN 4 ELSE 3 END <= 4
+AND p_size % 5 > 0 AND split_part(p_type, ' ', 1) <> 'PROMO' AND p_size >= 10""")
+def browse_cards(t):
+    """Parts as cards: a tier by type, size as the number of fields, every fifth size abstract."""
+    rows = t("part").select("p_partkey", "p_brand", F.split_part("p_type", F.lit(" "), F.lit(1)).alias("tier"), (F.col("p_size") % 5 == 0).alias("abstract"), F.col("p_size").alias("fields"))
+    tiers = ["STANDARD", "SMALL", "MEDIUM", "PROMO"]
+    return browse.cards(rows, tiers=tiers, upto="PROMO", least_fields=10, p_brand=["Brand#11", "Brand#12", "Brand#13"]).select("p_partkey")

@@ -53,6 +53,25 @@ def facets(rows: DataFrame, search: Column | None = None, **chosen) -> DataFrame
     return rows
 
 
+def cards(rows: DataFrame, search: Column | None = None, tiers: list[str] = (), upto: str | None = None, least_fields: int = 0, **chosen) -> DataFrame:
+    """rows (abstract, tier, fields and facet columns) that a catalogue shows. Facets, the tier (`upto` and those before it in
+    `tiers`; a row of no known tier counts as the one before the last) and the least number of fields always hold. Abstract
+    rows, and with a tier chosen those of the last one, show only in a search."""
+    for name, wanted in chosen.items():
+        rows = rows.where(F.col(name).isin(*wanted) if isinstance(wanted, (list, tuple)) else F.col(name) == wanted)
+    if upto is not None:
+        known = F.array_position(F.array(*map(F.lit, tiers)), F.col("tier"))
+        rank = F.coalesce(F.nullif(known, F.lit(0)), F.lit(len(tiers) - 1))
+        rows = rows.where(rank <= tiers.index(upto) + 1)
+    if search is not None:
+        rows = rows.where(search)
+    else:
+        rows = rows.where(~F.coalesce("abstract", F.lit(False)))
+        if upto is not None:
+            rows = rows.where(~F.col("tier").eqNullSafe(F.lit(tiers[-1])))
+    return rows.where(F.col("fields") >= least_fields) if least_fields else rows
+
+
 def any_nested(rows: DataFrame, values: str, query: str) -> DataFrame:
     """Rows of which a value in the array matches."""
     return rows.where(F.exists(values, lambda v: F.contains(F.lower(v), F.lit(query.lower()))))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tesserae.plans.compile import closure
@@ -16,6 +17,28 @@ def scan(rows: DataFrame, columns: list[str], limit: int | None = None, **wanted
     return out if limit is None else out.limit(limit)
 
 
+def first_found(rows: DataFrame, group: str, order: str, found: Column, scanned: int = 10, reported: int = 3) -> DataFrame:
+    """Of each group's first `scanned` rows in an order, the first `reported` that `found` holds for. The first limit is taken
+    before the shuffle of each group is sorted in full (a window's group limit), so large groups stay cheap."""
+    window = W.partitionBy(group).orderBy(order)
+    first = rows.withColumn("place", F.row_number().over(window)).where(F.col("place") <= scanned)
+    return first.where(found).withColumn("rank", F.row_number().over(W.partitionBy(group).orderBy("place"))).where(F.col("rank") <= reported)
+
+
+def selected(rows: DataFrame, names: list[str], column: str = "name") -> DataFrame:
+    """The rows of the wanted names; LookupError names those that no row has. `names` is a short list typed by a user."""
+    out = rows.where(F.col(column).isin(*names))
+    held = {r[0] for r in out.select(column).distinct().collect()}
+    if missing := [n for n in names if n not in held]:
+        raise LookupError("not found: " + ", ".join(missing))
+    return out
+
+
+def suffixed(rows: DataFrame, column: str = "name", suffix: str = "Template") -> DataFrame:
+    """Rows whose name ends so."""
+    return rows.where(F.col(column).endswith(suffix))
+
+
 def enum_file(names: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """names (enum) with the first file, in path order, that declares the vocabulary."""
     return names.join(vocabulary.groupBy("enum").agg(F.min("file").alias("file")), "enum", "left")

@@ -185,6 +185,11 @@ def read_terms(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("place", place).withColumn("rank", F.row_number().over(last)).where("rank = 1").drop("place", "rank")
 
 
+def read_first_column(spark: SparkSession, path: str, name: str = "Term") -> DataFrame:
+    """First column of CSV files by place, whatever their first line (skipped) calls it; rows without it are left out."""
+    return spark.read.csv(path, schema=f"`{name}` string", header=True, enforceSchema=True, multiLine=True, escape='"').where(F.col(name).isNotNull())
+
+
 def read_concept_maps(spark: SparkSession, path: str) -> DataFrame:
     """Concept maps (YAML: `mapping`, a list of source and target): (file, ord, source, target, comment)."""
     files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.yaml").text(path, wholetext=True)

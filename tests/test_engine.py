@@ -734,3 +734,25 @@ def test_patterns_do_not_multiply_unasked(spark):
     with pytest.raises(ValueError, match="shares no variable"):
         graph.basic(g, ("?a", "p", "?b"), ("?c", "q", "?d"))
     assert graph.basic(g, ("?a", "p", "?b"), ("?c", "q", "?d"), product=True).count() == 1
+
+
+def test_small_contracts(spark, tmp_path):
+    rows = [("A", False, "common", 5), ("B", True, "common", 9), ("C", None, "internal", 9), ("D", False, None, 2), ("E", False, "rare", 7)]
+    cards = spark.createDataFrame(rows, "name string, abstract boolean, tier string, fields int")
+    names = lambda df: sorted(r["name"] for r in df.collect())
+    tiers = ["common", "rare", "internal"]
+    assert names(browse.cards(cards)) == ["A", "C", "D", "E"]
+    assert names(browse.cards(cards, tiers=tiers, upto="common")) == ["A"]
+    assert names(browse.cards(cards, tiers=tiers, upto="internal", least_fields=3)) == ["A", "E"]
+    assert names(browse.cards(cards, F.col("name").isin("B", "C", "D"), tiers, "internal")) == ["B", "C", "D"]
+    assert names(lookup.selected(cards, ["E", "A"])) == ["A", "E"]
+    with pytest.raises(LookupError, match="Y, Z"):
+        lookup.selected(cards, ["A", "Y", "Z"])
+    schemas = spark.createDataFrame([("XTemplate",), ("TemplateX",), (None,)], "name string")
+    assert names(lookup.suffixed(schemas)) == ["XTemplate"]
+    ids = spark.createDataFrame([("org-a-b",), ("org-",), ("-a",), ("org",), (None,)], "id string")
+    got = [r["p"] and tuple(r["p"]) for r in ids.select(text.id_parts(F.col("id")).alias("p")).collect()]
+    assert got == [("org", "a-b"), None, None, None, None]
+    (tmp_path / "a.csv").write_text('anything,other\n"x, ""y""",1\nz,2\n,3\n')
+    (tmp_path / "b.csv").write_text("odd\nw\n")
+    assert {r["Term"] for r in model.read_first_column(spark, str(tmp_path)).collect()} == {'x, "y"', "z", "w"}
