@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tesserae.llm.common import materialize, text_or_empty
-from tesserae.llm.simhash import groups
+from tesserae.llm.common import materialize, slices, text_or_empty
+from tesserae.llm.simhash import groups, starts
 from tesserae.llm.words import Words, mixed, runs_hash, words
 
 WINDOW = 35
@@ -39,6 +39,8 @@ SEED = 12
 MOST_RUN = 63
 #: Words that a block of a task holds at a time.
 BLOCK_WORDS = 1_000_000
+#: Bytes of text that are taken apart at a time, of documents and of passages.
+SLICE_BYTES, PASSAGE_BYTES = 250_000, 4_000_000
 #: Places of one seed that may meet in one group of rows.
 HOT_PLACES = 1_000
 SEED_BASE, WINDOW_BASE = 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
@@ -85,7 +87,7 @@ def index(texts: DataFrame, window: int, seed: int) -> DataFrame:
                 seen[k] += 1
                 keep.append(seen[k] <= 2)
             batch = batch.filter(pa.array(keep, pa.bool_()))  # noqa: PLW2901
-            for w in words(batch.column("text")):
+            for w in words(batch.column("text"), SLICE_BYTES):
                 p = Parse(w, window, seed)
                 row, at = p.chosen()
                 edge = pa.array(np.searchsorted(row, np.arange(w.hi - w.lo + 1)).astype(np.int32))
@@ -110,27 +112,34 @@ class Block:
     def __init__(self, word: np.ndarray, edge: np.ndarray, window: int):
         self.edge, self.window = edge, window
         n, depth = len(word), 1 << window.bit_length()
-        rest = np.repeat(edge[1:], np.diff(edge)) - np.arange(n)  # words to the passage's end
-        rank, k = {1: word.astype(np.int64) + 1}, 1
+        rest = (np.repeat(edge[1:], np.diff(edge)) - np.arange(n)).astype(np.int32)  # words to the passage's end
+        rank, k = {1: word.astype(np.int32) + np.int32(1)}, 1  # places and ranks are below 2**31, pairs of them are not
+        order = np.argsort(rank[1], kind="stable").astype(np.int32)
         while k < depth:  # the order of runs of 2k words from that of runs of k
-            after = np.zeros(n, dtype=np.int64)
+            both = rank[k] * np.int64(n + 2)
             inner = np.flatnonzero(rest > k)
-            after[inner] = rank[k][inner + k]
-            rank[2 * k] = 1 + np.unique(rank[k] * (n + 2) + after, return_inverse=True)[1]
+            both[inner] += rank[k][inner + k]
+            del inner
+            order = np.argsort(both, kind="stable").astype(np.int32)
+            both = both[order]
+            rank[2 * k] = np.empty(n, dtype=np.int32)
+            rank[2 * k][order] = np.cumsum(np.append(True, both[1:] != both[:-1])[:n], dtype=np.int32)
+            del both
             k *= 2
-        order = np.argsort(rank[depth], kind="stable")
         a, b = order[:-1], order[1:]  # neighbours in order share the longest runs
-        shared = np.zeros(max(0, n - 1), dtype=np.int64)
+        shared = np.zeros(max(0, n - 1), dtype=np.int32)
+        ends = np.minimum(rest[a], rest[b])
         for k in sorted(rank, reverse=True):
-            at = np.flatnonzero(np.minimum(rest[a], rest[b]) >= shared + k)
+            at = np.flatnonzero(ends >= shared + k)
             shared[at[rank[k][a[at] + shared[at]] == rank[k][b[at] + shared[at]]]] += k
+            del rank[k], at
         shared = np.minimum(shared, depth)  # neighbours are in no order beyond
-        self.size = np.zeros(n, dtype=np.int64)
+        self.size = np.zeros(n, dtype=np.int32)
         self.size[a] = shared
         self.size[b] = np.maximum(self.size[b], shared)
         self.size[self.size < window] = 0
-        self.code = np.empty(n, dtype=np.int64)
-        self.code[order] = np.cumsum(np.append(1, shared < window)[:n])
+        self.code = np.empty(n, dtype=np.int32)
+        self.code[order] = np.cumsum(np.append(1, shared < window)[:n], dtype=np.int32)
         self.code[rest < window] = -1
 
     def factors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -142,7 +151,7 @@ class Block:
             i = bisect_left(at, at[i] + size[i] - self.window + 1, i + 1)
         found = places[out]
         passage = np.searchsorted(self.edge, found, side="right") - 1
-        return passage, found - self.edge[passage], self.size[found]
+        return passage, found - self.edge[passage], self.size[found].astype(np.int64)
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -171,10 +180,12 @@ def _parse_own(window: int, seed: int):
         if not block:
             return
         live, hashes, length, ids, check, alone, first, run_region, run_at, run_windows, run_seed, run_split = zip(*block, strict=True)
+        block.clear()
         count = np.cumsum([0, *map(len, length[:-1])])
         run_region = np.concatenate([r + c for r, c in zip(run_region, count, strict=True)])
         hashes, length, ids, check, alone, first, run_at, run_windows, run_seed, run_split = map(np.concatenate, (hashes, length, ids, check, alone, first, run_at, run_windows, run_seed, run_split))
         text = pa.chunked_array(live).dictionary_encode().combine_chunks()
+        del live
         edge = np.concatenate([[0], np.cumsum(length)])
         index = Block(text.indices.to_numpy(zero_copy_only=False), edge, window)
         region, at, size = index.factors()
@@ -209,7 +220,7 @@ def _parse_own(window: int, seed: int):
         for batch in batches:
             ids, check, copies = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("id", "check", "copies"))
             hits = batch.column("hits")
-            for w in words(batch.column("text")):
+            for w in words(batch.column("text"), SLICE_BYTES):
                 p = Parse(w, window, seed)
                 if not len(p.owner):
                     continue
@@ -235,18 +246,27 @@ def _parse_own(window: int, seed: int):
                 held += len(word)
                 if held >= BLOCK_WORDS:
                     yield from settle(block)
-                    block, held = [], 0
+                    held = 0
         yield from settle(block)
 
     return run, "route long, seed long, part long, mark long, id long, check long, first long, size long, words binary"
 
 
+def _pieces(tables: Iterator[pa.Table]) -> Iterator[pa.Table]:
+    """The tables cut between groups, so that a piece's passages have PASSAGE_BYTES or stand under one anchor."""
+    for table in tables:
+        edge = np.append(starts(table, ["seed", "part"]), len(table))
+        upto = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(table.column("words")), 0).to_numpy(), dtype=np.int64)])
+        for lo, hi in slices(np.diff(upto[edge]), PASSAGE_BYTES):
+            yield table.slice(edge[lo], edge[hi] - edge[lo]).combine_chunks()
+
+
 def _parse_shared(window: int):
     """Rows sorted by anchor -> factors (id, check, first, size): passages are parsed against the block of those that share
     their anchors; of a lengthened anchor every place is a factor if there are several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches, ["seed", "part"], 20_000):
+        for table in _pieces(groups(batches, ["seed", "part"], 20_000)):
             part, mark, seed, id, check, first, size = (table.column(c).to_numpy() for c in ("part", "mark", "seed", "id", "check", "first", "size"))
             keep = part == _FACTOR
             single = np.flatnonzero(part > 0)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +15,16 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 SLICE_BYTES = 1_000_000
 
 
-@cache
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below 2**bits."""
-    up, down = np.full(1 << bits, base, dtype=np.uint64), np.full(1 << bits, pow(base, -1, 1 << 64), dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+    """base**i and base**-i modulo 2**64 for i below 2**bits at least; of each base the longest table is kept."""
+    if base not in _POWERS or len(_POWERS[base][0]) < 1 << bits:
+        up, down = np.full(1 << bits, base, dtype=np.uint64), np.full(1 << bits, pow(base, -1, 1 << 64), dtype=np.uint64)
+        up[0] = down[0] = 1
+        _POWERS[base] = np.multiply.accumulate(up, out=up), np.multiply.accumulate(down, out=down)
+    return _POWERS[base]
 
 
 def runs_hash(x: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:

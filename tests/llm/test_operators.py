@@ -4,6 +4,7 @@ extra columns with clashing names; and on empty tables."""
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 from functools import cache as cached
@@ -775,3 +776,28 @@ def test_factors(window, letters):
     assert list(zip(*(x.tolist() for x in block.factors()), strict=True)) == want
     covered = {(k, i + x) for k, i, n in want for x in range(n)}
     assert covered == {(k, i + x) for (k, i), n in zip(places, size, strict=True) if n for x in range(window)}
+
+
+def test_block_memory():
+    """A block of a million words stays under 80 bytes a word."""
+    word = np.random.default_rng(1).integers(0, 50_000, 1_000_000).astype(np.int32)
+    word[500_000:600_000] = word[:100_000]
+    tracemalloc.start()
+    try:
+        block = substring.Block(word, np.arange(0, len(word) + 1, 100), 35)
+        assert tracemalloc.get_traced_memory()[1] < 80 * len(word)
+    finally:
+        tracemalloc.stop()
+    assert np.flatnonzero(block.size).tolist() == [100 * p + i for p in [*range(1_000), *range(5_000, 6_000)] for i in range(66)]
+
+
+def test_passages_go_in_pieces(monkeypatch):
+    """Passages are read a bounded number of bytes at a time; those under one anchor stay together."""
+    monkeypatch.setattr(substring, "PASSAGE_BYTES", 100)
+    seed = np.repeat(np.arange(40), 3)
+    zero = np.zeros(len(seed), dtype=np.int64)
+    sent = substring._sent(seed, zero, seed, zero, np.arange(len(seed)), zero, zero, zero, [b"a b c d e f g h"] * len(seed))
+    pieces = list(substring._pieces(iter([pa.Table.from_batches([sent])])))
+    assert [len(p) for p in pieces] == [6] * 20 and pa.concat_tables(pieces).equals(pa.Table.from_batches([sent]))
+    found = pa.Table.from_batches(substring._parse_shared(8)[0](iter([sent])))
+    assert sorted(found.column("id").to_pylist()) == list(range(len(seed)))
