@@ -447,6 +447,16 @@ def test_turtle_errors(text):
         list(turtle.parse(text))
 
 
+def test_parsed_triples_are_not_broadcast(spark, tmp_path):
+    """A file of some kB makes documents of 3 MB: their triples are not joined by its size."""
+    spark.range(6_000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    text = F.concat(F.lit("<a:"), F.col("id"), F.lit("> <a:p> ( 1 ) ; <a:q> '"), F.repeat(F.lit("x"), 500), F.lit("' ."))
+    g = turtle.parsed(spark.read.parquet(str(tmp_path / "t")).select("id", text.alias("text")), "text", "id")
+    found = graph.basic(g, ("?s", "a:p", "?l"), ("?l", turtle.RDF + "first", "?x"), ("?s", "a:q", "?q"))
+    assert len(found.collect()) == 6_000
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_turtle_nests_deep():
     assert len(list(turtle.parse("<a> <b> " + "[ <c> ( " * 5_000 + "1" + " ) ]" * 5_000 + " ."))) == 15_001
 
