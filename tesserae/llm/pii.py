@@ -1,7 +1,7 @@
 """Personal data: base patterns and gradient-boosted candidates (operator 4).
 
 One narrow pass over whole texts finds the base spans and, with high-recall generators, overlapping candidate spans with
-format and context features; only spans and features leave it. Boosted trees are fitted with MLlib on a bounded sample.
+format and context features; only spans and features leave it. Boosted trees are fitted with MLlib on all candidates.
 
 Labels come from evidence that the features do not hold. A number or address is labelled by a base span under it; its
 features leave out what validates one (checksum, leading plus, at-sign), so that what is written like it but not matched by
@@ -32,9 +32,9 @@ from tesserae.llm.common import materialize, text_or_empty
 BASE = ("email", "ip", "card", "phone")
 #: Kinds that only the trees add.
 ADDED = ("address", "number", "secret")
-#: Labelled candidates the trees are fitted on, at most; chosen by hash of document and place.
-SAMPLE_ROWS = 20_000
-#: A kind is left out with fewer labelled or unlabelled candidates in the sample.
+#: Steps of a score between 0 and 1 by which thresholds are set.
+SCORES = 65_536
+#: A kind is left out with fewer labelled or unlabelled candidates.
 LEAST_ROWS = 20
 TREES, DEPTH = 12, 4
 PRECISION = 0.95
@@ -249,47 +249,57 @@ def score(trees: list[tuple[float, np.ndarray]], x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-2 * margin))
 
 
-def threshold(score: np.ndarray, label: np.ndarray, precision: float = PRECISION) -> float:
+def threshold(score: np.ndarray, label: np.ndarray, precision: float = PRECISION, weight: np.ndarray | None = None) -> float:
     """The lowest score at which those selected are true with mean probability `precision`; 2, which none reaches, if there
-    is none. A probability is a score over the mean score of labelled rows, as labels are some of the true ones only."""
+    is none. A probability is a score over the mean score of labelled rows, as labels are some of the true ones only. weight:
+    candidates that each row stands for, 1 if not given."""
+    weight = np.ones(len(score)) if weight is None else weight
     if not label.any() or label.all():
         return 2.0
-    true = np.minimum(1.0, score / score[label > 0].mean())
+    mean = float(np.average(score[label > 0], weights=weight[label > 0]))
     order = np.argsort(-score, kind="stable")
-    fine = np.flatnonzero(np.cumsum(true[order]) / np.arange(1, len(order) + 1) >= precision)
-    return max(0.5 * float(score[label > 0].mean()), float(score[order][fine[-1]])) if len(fine) else 2.0
+    true = np.minimum(1.0, score[order] / mean) * weight[order]
+    fine = np.flatnonzero(np.cumsum(true) / np.cumsum(weight[order]) >= precision)
+    return max(0.5 * mean, float(score[order][fine[-1]])) if len(fine) else 2.0
 
 
-def fit(found: DataFrame, rows: int = SAMPLE_ROWS) -> tuple[list[tuple[float, np.ndarray]], list[float]]:
-    """Trees, and a threshold for each kind, from `rows` candidates at most. A kind with too few candidates of either label
-    gets a threshold above 1; documents in the held-out fold are not trained on."""
+def fit(found: DataFrame) -> tuple[list[tuple[float, np.ndarray]], list[float]]:
+    """Trees, and a threshold for each kind, from all candidates of found, a materialised table. A kind with too few
+    candidates of either label gets a threshold above 1; documents in the held-out fold are not trained on."""
     none: tuple[list, list[float]] = ([], [2.0] * len(ADDED))
-    flat = found.where(F.size("start") > 0).select(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))).alias("doc"), F.posexplode("label").alias("k", "label"), "kind", "x", "start")
-    flat = flat.select("doc", "label", F.element_at("kind", F.col("k") + 1).alias("kind"), F.slice("x", F.col("k") * FEATURES + 1, FEATURES).alias("x"), F.xxhash64("doc", F.element_at("start", F.col("k") + 1), "k").alias("h"))
-    sample = materialize(flat.orderBy("h", "kind", "label").limit(rows).repartition(4, "h"))
-    of = {(r["kind"], r["label"]): r["count"] for r in sample.groupBy("kind", "label").count().collect()}
+    some = found.where(F.size("start") > 0).withColumn("doc", F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))))
+    flat = some.select("doc", F.posexplode("label").alias("k", "label"), "kind", "x")
+    flat = flat.select("doc", "label", F.element_at("kind", F.col("k") + 1).alias("kind"), F.slice("x", F.col("k") * FEATURES + 1, FEATURES).alias("x"))
+    of = {(r["kind"], r["label"]): r["count"] for r in flat.groupBy("kind", "label").count().collect()}  # six rows at most
     kinds = [k for k in range(len(ADDED)) if min(of.get((k, 0), 0), of.get((k, 1), 0)) >= LEAST_ROWS]
     if not kinds:
         return none
     held = F.pmod(F.col("doc"), F.lit(5)) == 0
-    ready = sample.where(F.col("kind").isin(kinds)).withColumn("features", array_to_vector(F.col("x").cast("array<double>"))).withColumn("label", F.col("label").cast("double"))
+    ready = flat.where(F.col("kind").isin(kinds)).withColumn("features", array_to_vector(F.col("x").cast("array<double>"))).withColumn("label", F.col("label").cast("double"))
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, minInstancesPerNode=LEAST_ROWS, seed=1).fit(ready.where(~held).select("features", "label"))
     trees = []
     for tree, weight in zip(model.trees, model.treeWeights, strict=True):
         into: list = []
         _nodes(tree._java_obj.rootNode(), into)
         trees.append((float(weight), np.array(into, dtype=np.float64)))
-    rest = sample.where(held).select("label", "kind", "x").toPandas()
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, FEATURES)
+            cell = np.floor(score(trees, x) * SCORES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column("kind"), batch.column("label"), pa.array(cell, pa.int32())], ["kind", "label", "cell"])
+
+    # counted by score before they are collected, so that the driver gets SCORES rows of each kind and label at most
+    counts = flat.where(held & F.col("kind").isin(kinds)).select("kind", "label", "x").mapInArrow(cells, "kind int, label int, cell int")
+    rest = counts.groupBy("kind", "label", "cell").count().toPandas().sort_values(["kind", "cell", "label"])
     thresholds = [2.0] * len(ADDED)
-    if len(rest):
-        p = score(trees, np.stack(rest["x"].to_numpy()).astype(np.float64))
-        for k in kinds:
-            own = (rest["kind"] == k).to_numpy()
-            thresholds[k] = threshold(p[own], rest["label"].to_numpy()[own])
+    for k in kinds:
+        own = rest[rest["kind"] == k]
+        thresholds[k] = threshold(own["cell"].to_numpy() / SCORES, own["label"].to_numpy(), weight=own["count"].to_numpy().astype(np.float64))
     return trees, thresholds
 
 
-def find(docs: DataFrame, text: str = "text", id: str = "doc_id", rows: int = SAMPLE_ROWS) -> DataFrame:
+def find(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
     """Per row of docs: id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans ("kind:start:end", code
     points, end exclusive, by start; base and added ones), n_address, n_number, n_secret (added ones), n_spans (all).
 
@@ -299,7 +309,7 @@ def find(docs: DataFrame, text: str = "text", id: str = "doc_id", rows: int = SA
     packed = docs.select(F.col(id).alias("id"), text_or_empty(text).alias("text"))
     kind = packed.schema["id"].dataType.simpleString()
     found = materialize(packed.mapInArrow(_find, f"id {kind}, {_FOUND}"))
-    trees, thresholds = fit(found, rows)
+    trees, thresholds = fit(found)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -343,6 +343,23 @@ def test_pii_learns_what_no_base_pattern_matches(spark):
     assert all(share[k] < 0.02 for k in ("handle", "host", "date", "serial", "word", "clean")), share
 
 
+def test_pii_fits_on_all_candidates(spark):
+    """A kind with some 30 candidates of each label among 80,000 is learned, and its held-out ones count in its threshold."""
+    x = lambda kind, v: F.array(*[F.lit(float(kind)), v.cast("float"), *[F.lit(0.0)] * (pii.FEATURES - 2)]).cast("array<float>")
+    one = lambda c: F.array(c.cast("int"))
+    i = F.col("id")
+    rare, label = i < 60, i % 2
+    found = spark.range(80_000).select("id", one(F.lit(0)).alias("start"), one(F.when(rare, 0).otherwise(1)).alias("kind"), one(label).alias("label"), F.when(rare, x(0, label * 10)).otherwise(x(1, label * 10 + i % 3)).alias("x"))
+    trees, thresholds = pii.fit(found)
+    assert trees and all(t < 1 for t in thresholds[:2]) and thresholds[2] == 2
+
+
+def test_pii_threshold_by_weight():
+    score, label = np.array([0.9, 0.8, 0.8, 0.3, 0.1]), np.array([1, 1, 0, 1, 0])
+    n = np.array([5, 2, 3, 1, 40])
+    assert pii.threshold(score, label, weight=n.astype(float)) == pii.threshold(np.repeat(score, n), np.repeat(label, n))
+
+
 def test_pii_labels_are_no_function_of_features():
     """The same span scores alike with and without what labels it."""
     f = pii.features
