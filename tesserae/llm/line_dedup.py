@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tesserae.llm.common import materialize, small, text_or_empty
 from tesserae.llm.components import components
 from tesserae.llm.simhash import groups, roots, starts
-from tesserae.llm.words import mixed, runs_hash
+from tesserae.llm.words import mixed, parts_hash, sums
 
 MAX_EDITS = 2
 #: Shorter lines link to equal lines only; none is shorter than 1.
@@ -143,15 +143,21 @@ def line_hash(line: str) -> Column:
 
 
 def lines(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
-    """(id, twin, no, line, lid): the non-empty lines of each distinct row of (id, text); twin tells texts of one id apart,
-    lid tells lines apart. It is a 64-bit hash; lines that share it but differ in a second hash have that one instead."""
+    """(id, twin, no, line, lid, check): the non-empty lines of each row of (id, text); twin tells texts of one id apart, lid
+    and check are two 64-bit hashes of the line."""
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("twin"), text_or_empty(text).alias("text"))
     flat = rows.select("id", "twin", F.posexplode(F.split("text", "\n")).alias("no", "line"))
-    flat = flat.where("line <> ''").withColumns({"lid": line_hash("line"), "check": F.xxhash64(F.lit(1), F.col("line"))})
-    met = materialize(flat.groupBy("lid").agg(F.min("check").alias("least"), F.max("check").alias("most")).where("least <> most").select(F.col("lid").alias("met")))
-    if not met.isEmpty():
-        flat = flat.join(small(met), F.col("lid") == F.col("met"), "left").withColumn("lid", F.when(F.col("met").isNull(), F.col("lid")).otherwise(F.col("check"))).drop("met")
-    return flat.drop("check")
+    return flat.where("line <> ''").withColumns({"lid": line_hash("line"), "check": F.xxhash64(F.lit(1), F.col("line"))})
+
+
+def told_apart(hashed: DataFrame, *more: DataFrame) -> list[DataFrame]:
+    """Tables with (lid, check), all of the lines of the first -> the same without check: lines that share lid but differ in
+    check have check for lid."""
+    met = materialize(hashed.groupBy("lid").agg(F.min("check").alias("least"), F.max("check").alias("most")).where("least <> most").select(F.col("lid").alias("met")))
+    if met.isEmpty():
+        return [x.drop("check") for x in (hashed, *more)]
+    lid = F.when(F.col("met").isNull(), F.col("lid")).otherwise(F.col("check"))
+    return [x.join(small(met), F.col("lid") == F.col("met"), "left").withColumn("lid", lid).drop("met", "check") for x in (hashed, *more)]
 
 
 def _keys(edits: int):
@@ -162,7 +168,11 @@ def _keys(edits: int):
         if not block:
             return
         key, lid, seg, size, own = (np.concatenate(x) for x in zip(*block, strict=True))
-        order = np.lexsort((~own, lid, key))
+        order = np.argsort(key)
+        same = np.diff(key[order]) == 0
+        at = np.flatnonzero(np.append(False, same) | np.append(same, False))  # few keys repeat: only those are sorted further
+        some = order[at]
+        order[at] = some[np.lexsort((~own[some], lid[some], key[some]))]
         key, lid, seg, size, own = (x[order] for x in (key, lid, seg, size, own))
         new = np.append(True, (key[1:] != key[:-1]) | (lid[1:] != lid[:-1]))
         key, lid, seg, size, own = (x[new] for x in (key, lid, seg, size, own))
@@ -186,12 +196,12 @@ def _keys(edits: int):
                     size += len(texts[hi])
                     hi += 1
                 length = np.array([len(x) for x in texts[lo:hi]], dtype=np.int64)
-                data = np.frombuffer("".join(texts[lo:hi]).encode("utf-32-le"), dtype=np.uint32)
+                total = sums(np.frombuffer("".join(texts[lo:hi]).encode("utf-32-le"), dtype=np.uint32), BASE)
                 begin = np.cumsum(length) - length
                 for less, i, at, place, n, own in probes(length, edits):
                     first = begin[at] + place
                     mark = ((length[at] - less) * (edits + 1) + i).astype(np.uint64)
-                    key = mixed(runs_hash(data, first, first + n, BASE) ^ mixed(mark)).view(np.int64)
+                    key = mixed(parts_hash(total, first, first + n, BASE) ^ mixed(mark)).view(np.int64)
                     block.append((key, ids[lo:hi][at], np.full(len(at), i, dtype=np.int32), (length[at] - less).astype(np.int32), own))
                 held += hi - lo
                 if held >= BLOCK_LINES:
@@ -260,9 +270,10 @@ def joined(distinct: DataFrame, edits: int = MAX_EDITS, least: int = LEAST_CHARS
     # sure rows go anywhere, the others to their key
     route = F.when(F.col("meta").bitwiseAND(F.lit(2)) > 0, F.xxhash64("key", "lid")).otherwise(F.col("key"))
     rows = long.mapInArrow(*_keys(edits)).repartition(route).sortWithinPartitions("key")
-    members = rows.mapInArrow(_shared, "key long, lid long, seg int, len int, own boolean")
-    # one plan from lines to links, so that Spark moves the lines once; joined on seg and len too, so that both sides of
-    # the join are dealt out for it and a key of very many lines can be split
+    # one plan from lines to links, so that Spark moves the lines once; what the keys share is dealt out (evenly, by line),
+    # so that both uses below read it and the keys are sorted once; joined on seg and len too, so that both sides of the
+    # join are dealt out for it and a key of very many lines can be split
+    members = rows.mapInArrow(_shared, "key long not null, lid long not null, seg int not null, len int not null, own boolean not null").repartition("key", "lid")
     sizes = members.groupBy("key").agg(F.count("*").alias("n"), F.max("own").alias("filed"), F.max("seg").alias("seg"), F.max("len").alias("len"))
     sizes = sizes.where("n > 1 AND filed").select("key", "seg", "len", F.ceil(F.col("n") / tile).alias("chunks"))
     dealt = members.join(sizes, ["key", "seg", "len"]).withColumn("chunk", F.pmod(F.xxhash64("lid"), F.col("chunks")))
@@ -299,7 +310,8 @@ def deduped(docs: DataFrame, text: str = "text", id: str = "doc_id", edits: int
     empty table gives no rows.
     """
     found = lines(docs, text, id)
-    placed = materialize(found.select("id", "twin", "no", "lid", F.least(F.length("line"), F.lit(edits + 1)).alias("size")).distinct())
+    placed = materialize(found.select("id", "twin", "no", "lid", "check", F.least(F.length("line"), F.lit(edits + 1)).alias("size")).distinct())
+    placed, found = told_apart(placed, found)
     linked = materialize(classes(found, edits, least, tile, placed))
     known = placed.join(linked, "lid", "left").withColumns({"class": F.coalesce("class", "lid"), "links": F.coalesce("links", F.lit(0))})
     place = F.struct(F.col("id").isNull().alias("last"), "id", "no", "twin")
@@ -307,7 +319,7 @@ def deduped(docs: DataFrame, text: str = "text", id: str = "doc_id", edits: int
     inside = known.join(materialize(heads), "class").select("id", "twin", "no", "links", "head", (~(F.col("head").eqNullSafe(place))).alias("gone"))
     line = F.struct("no", F.col("head.id").alias("class_id"), F.col("head.no").alias("class_line"), "links")
     by_text = inside.groupBy("id", "twin").agg(F.count_if("gone").alias("n_removed"), F.array_sort(F.collect_list(line)).alias("lines"))
-    count = F.size(F.filter(F.split(text_or_empty(text), "\n"), lambda x: x != "")).cast("long")
+    count = F.size(F.array_remove(F.split(text_or_empty(text), "\n"), "")).cast("long")
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("twin"), count.alias("n_lines"))
     joined_rows = rows.alias("d").join(by_text.alias("r"), F.col("d.id").eqNullSafe(F.col("r.id")) & (F.col("d.twin") == F.col("r.twin")), "left")
     return joined_rows.select(F.col("d.id").alias(id), "n_lines", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"), "lines")

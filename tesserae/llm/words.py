@@ -27,12 +27,21 @@ def _powers(base: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[base]
 
 
+def sums(x: np.ndarray, base: int) -> np.ndarray:
+    """Sums of x[i] * base**i over the first 0, 1, ... values of x, from which `parts_hash` hashes any part of x."""
+    total = np.zeros(len(x) + 1, dtype=np.uint64)
+    np.cumsum(x.astype(np.uint64) * _powers(base, max(12, int(len(x)).bit_length()))[0][: len(x)], out=total[1:])
+    return total
+
+
+def parts_hash(total: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hash of each x[first:last], whatever its place, out of total = sums(x, base)."""
+    return (total[last] - total[first]) * _powers(base, max(12, int(len(total) - 1).bit_length()))[1][first]
+
+
 def runs_hash(x: np.ndarray, first: np.ndarray, last: np.ndarray, base: int) -> np.ndarray:
     """Polynomial hash of each x[first:last], whatever its place. x should hold no zero, which would not count at an end."""
-    up, down = _powers(base, max(12, int(len(x)).bit_length()))
-    total = np.zeros(len(x) + 1, dtype=np.uint64)
-    np.cumsum(x.astype(np.uint64) * up[: len(x)], out=total[1:])
-    return (total[last] - total[first]) * down[first]
+    return parts_hash(sums(x, base), first, last, base)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

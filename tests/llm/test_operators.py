@@ -572,6 +572,41 @@ def test_line_dedup_tells_lines_of_one_hash_apart(spark, monkeypatch):
     assert [n for _, n in want] == [0] * 40 + [1] * 5
 
 
+def test_line_dedup_adds_up_characters_once(monkeypatch):
+    """The twelve keys of a line come from one pass over its characters."""
+    r = random.Random(6)
+    lines = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(3, 90))) for _ in range(300)]
+    batch = pa.RecordBatch.from_pydict({"lid": list(range(300)), "line": lines})
+    seen, inner = [], np.cumsum
+    monkeypatch.setattr(np, "cumsum", lambda x, *a, **b: (seen.append(len(x)), inner(x, *a, **b))[1])
+    keys = [x for b in line_dedup._keys(2)[0](iter([batch])) for x in b.column("key").to_pylist()]
+    assert len(keys) >= 11 * 300
+    assert sum(seen) < 2 * sum(map(len, lines))
+
+
+def test_line_dedup_sorts_keys_once(spark, monkeypatch):
+    """What keys share is worked out once, though sizes and members both come from it."""
+    r = random.Random(6)
+    lines = ["".join(r.choice("abcdefgh ") for _ in range(r.randint(20, 90))) for _ in range(300)]
+    distinct = spark.createDataFrame(list(enumerate([*lines, *[x + "." for x in lines[:50]]])), "lid long, line string").repartition(3)
+    sent, read = (spark.sparkContext.accumulator(0) for _ in range(2))
+
+    def counted(count, inner):
+        def run(batches):
+            for x in inner(batches):
+                count.add(len(x))
+                yield x
+
+        return run
+
+    shared, (keys, schema) = line_dedup._shared, line_dedup._keys(2)
+    monkeypatch.setattr(line_dedup, "_keys", lambda edits: (counted(sent, keys), schema))
+    monkeypatch.setattr(line_dedup, "_shared", lambda batches: shared(counted(read, iter)(batches)))
+    links = line_dedup.joined(distinct).collect()
+    assert sum(x["links"] for x in links) == 2 * 50
+    assert read.value == sent.value > 0
+
+
 def test_line_dedup_edges(docs, empty):
     assert line_dedup.deduped(empty).count() == 0
     assert line_dedup.deduped(docs).count() == docs.count()
